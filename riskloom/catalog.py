@@ -130,6 +130,9 @@ CDC_CATALOG = FeatureCatalog(
 )
 
 
+# --- Fixed values: TPC-H order priority names, in code order 1..5.
+ORDER_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
 # Stand-in catalog over the TPC-H-shaped test tables (see sources/fixtures.py).
 RISK_ROWS_CATALOG = FeatureCatalog(
     features=(
@@ -144,7 +147,8 @@ RISK_ROWS_CATALOG = FeatureCatalog(
         ranged("order_total", 0, None),
         binary("order_open", 0.0, YES_NO),
         binary("order_partial", 0.0, YES_NO),
-        FeatureSpec("priority", values=(1.0, 2.0, 3.0, 4.0, 5.0), default=3.0),
+        FeatureSpec("priority", values=(1.0, 2.0, 3.0, 4.0, 5.0), default=3.0,
+                    labels=tuple(enumerate(ORDER_PRIORITIES, start=1))),
         ranged("cust_balance", None, None),
         binary("seg_building", 0.0, YES_NO),
         binary("seg_household", 0.0, YES_NO),
