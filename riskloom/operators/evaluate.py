@@ -8,9 +8,9 @@ unpartitioned sort:
    score value collapses to one row, so skew in scores cannot overload a task);
 2. cut the distinct scores into ranges at approximate quantiles (only a balancing aid:
    any boundaries give the same exact answer);
-3. running negative count inside each range (window partitioned by range), plus the
-   negatives of all lower ranges (a prefix over the ≤ ``num_ranges`` range totals, a
-   table bounded by construction and therefore safe to broadcast);
+3. running negative count inside each range (window partitioned by range), reduced to
+   per-range totals; the negatives of all lower ranges are a prefix over those totals
+   (≤ ``num_ranges`` rows per group);
 4. AUC = Σ pos·(neg_below + neg_tied/2) / (P·N).
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,26 +88,32 @@ def range_boundaries(counts: DataFrame, num_ranges: int = DEFAULT_RANGES) -> lis
 
 def auc_from_counts(counts: DataFrame, boundaries: Sequence[float],
                     group_cols: Sequence[str] = ()) -> DataFrame:
-    """Exact AUC per group from (score, pos, neg) rows and range boundaries."""
+    """Exact AUC per group from (score, pos, neg) rows and range boundaries.
+
+    Per range r: P_r = Σ pos, N_r = Σ neg, L_r = Σ pos·(neg below within r + neg tied / 2).
+    Then U = Σ_r (L_r + P_r · Σ_{r' < r} N_r'): the cross-range term is a prefix over the
+    per-range totals (at most ``len(boundaries) + 2`` rows per group), so no row-level
+    join or second pass over the scores is needed.
+    """
     splits = [float("-inf")] + [b for b in boundaries if b not in (float("-inf"), float("inf"))] + [float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="range_id",
                           handleInvalid="keep").transform(counts)
     within = (Window.partitionBy(*group_cols, "range_id").orderBy("score")
               .rowsBetween(Window.unboundedPreceding, -1))
+    pos = F.col("pos").cast("double")
     local = bucketed.withColumn("neg_before", F.coalesce(F.sum("neg").over(within), F.lit(0)))
-    range_totals = bucketed.groupBy(*group_cols, "range_id").agg(F.sum("neg").alias("range_neg"))
+    ranges = local.groupBy(*group_cols, "range_id").agg(
+        F.sum("pos").alias("p_r"),
+        F.sum("neg").alias("n_r"),
+        F.sum(pos * (F.col("neg_before") + F.col("neg") / 2.0)).alias("l_r"),
+    )
     lower = (Window.partitionBy(*group_cols).orderBy("range_id")
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = range_totals.select(
-        *group_cols, "range_id", F.coalesce(F.sum("range_neg").over(lower), F.lit(0)).alias("neg_offset"))
-    if not group_cols:
-        offsets = F.broadcast(offsets)  # at most len(splits) rows
-    joined = local.join(offsets, [*group_cols, "range_id"])
-    pos = F.col("pos").cast("double")
-    agg = joined.groupBy(*group_cols).agg(
-        F.sum(pos * (F.col("neg_offset") + F.col("neg_before") + F.col("neg") / 2.0)).alias("u"),
-        F.sum("pos").alias("n_pos"),
-        F.sum("neg").alias("n_neg"),
+    ranges = ranges.withColumn("n_lower", F.coalesce(F.sum("n_r").over(lower), F.lit(0)))
+    agg = ranges.groupBy(*group_cols).agg(
+        F.sum(F.col("l_r") + F.col("p_r").cast("double") * F.col("n_lower")).alias("u"),
+        F.sum("p_r").alias("n_pos"),
+        F.sum("n_r").alias("n_neg"),
     )
     single = (F.col("n_pos") == 0) | (F.col("n_neg") == 0)
     return agg.select(
@@ -127,9 +134,16 @@ def auc_exact(df: DataFrame, score_col: str, label_col: str, group_cols: Sequenc
 
 def evaluate_scores(df: DataFrame, label_col: str, score_col: str, prediction_col: str,
                     num_ranges: int = DEFAULT_RANGES) -> dict:
-    """All metrics of one scored table as a dict (two small result rows reach the driver)."""
+    """All metrics of one scored table as a dict (two small result rows reach the driver).
+
+    The distinct-score table is cached for the quantile pass and the AUC pass.
+    """
     m = metrics_from_confusion(confusion_counts(df, label_col, prediction_col)).first()
-    a = auc_exact(df, score_col, label_col, num_ranges=num_ranges).first()
+    counts = score_label_counts(df, score_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        a = auc_from_counts(counts, range_boundaries(counts, num_ranges)).first()
+    finally:
+        counts.unpersist()
     out = m.asDict() if m is not None else {}
     out.update({"auc": None if a is None else a["auc"],
                 "single_class": True if a is None else bool(a["single_class"])})

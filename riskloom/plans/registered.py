@@ -46,14 +46,20 @@ KEY = "row_key"
 RISK = "WITH " + fx.RISK_ROWS_SQL
 
 # Integer score both engines compute identically (for evaluation operators).
-EVAL_SCORE_SPARK = F.col("qty") * 2 + F.col("discount_pct") * 3
+def eval_score():
+    return F.col("qty") * 2 + F.col("discount_pct") * 3
+
+
 EVAL_SCORE_SQL = "(qty * 2 + discount_pct * 3)"
 EVAL_CUT = 110
 # Fixed (not trained) logistic coefficients for the SQL form of a linear model.
 LINEAR_COEFS = {"qty": 0.12, "discount_pct": 0.3, "is_returned": 1.1}
 LINEAR_INTERCEPT = -6.5
 # Binary feature for the tree closed forms; its two label rates straddle 0.5.
-HI_SCORE_SPARK = ((F.col("qty") * 2 + F.col("discount_pct") * 3 + F.col("is_returned") * 20) > 130).cast("int")
+def hi_score():
+    return ((F.col("qty") * 2 + F.col("discount_pct") * 3 + F.col("is_returned") * 20) > 130).cast("int")
+
+
 HI_SCORE_SQL = "CAST(qty * 2 + discount_pct * 3 + is_returned * 20 > 130 AS INTEGER)"
 
 
@@ -343,9 +349,9 @@ FROM r"""
 
 
 def _tree_probabilities(spark, sf, estimator) -> DataFrame:
-    data = _single_feature_train(spark, sf, HI_SCORE_SPARK, "hi_score")
+    data = _single_feature_train(spark, sf, hi_score(), "hi_score")
     model = estimator.fit(data)
-    test = _test(fx.risk_rows_table(spark, sf)).select(HI_SCORE_SPARK.cast("double").alias("hi_score"))
+    test = _test(fx.risk_rows_table(spark, sf)).select(hi_score().cast("double").alias("hi_score"))
     scored = model.transform(VectorAssembler(inputCols=["hi_score"], outputCol="features").transform(test))
     return (scored.groupBy(F.col("hi_score").cast("int").alias("hi_score"))
             .agg(F.count(F.lit(1)).alias("rows"),
@@ -374,7 +380,7 @@ FROM te JOIN rates USING (hi_score)"""
 
 def feature_importances_q(spark, sf):
     base = _train(fx.risk_rows_table(spark, sf)).select(
-        HI_SCORE_SPARK.cast("double").alias("hi_score"), F.col("is_returned").cast("double").alias("is_returned"),
+        hi_score().cast("double").alias("hi_score"), F.col("is_returned").cast("double").alias("is_returned"),
         F.col("label").cast("double").alias("label"))
     data = VectorAssembler(inputCols=["hi_score", "is_returned"], outputCol="features").transform(base)
     model = GBTClassifier(maxIter=1, maxDepth=1, seed=42).fit(data)
@@ -466,8 +472,8 @@ def score_stream(spark, sf):
 
 # ----------------------------------------------------------------------------- evaluation
 def _eval_frame(spark, sf) -> DataFrame:
-    return _test(_rr(spark, sf)).select(KEY, "label", EVAL_SCORE_SPARK.alias("score"),
-                                         (EVAL_SCORE_SPARK >= EVAL_CUT).cast("int").alias("prediction"))
+    return _test(_rr(spark, sf)).select(KEY, "label", eval_score().alias("score"),
+                                         (eval_score() >= EVAL_CUT).cast("int").alias("prediction"))
 
 
 _SQL_EVAL = RISK + f""",
@@ -532,15 +538,15 @@ SELECT round(auc, 9) AS auc, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGIN
 
 
 # Three fixed scorers over the same rows: (name, ordinal, score, decision cut).
-SCORERS = [("qty_discount", 1, EVAL_SCORE_SPARK, EVAL_SCORE_SQL, EVAL_CUT),
-           ("qty_only", 2, F.col("qty"), "qty", 45),
-           ("price_only", 3, F.col("price"), "price", 80000)]
+SCORERS = [("qty_discount", 1, eval_score, EVAL_SCORE_SQL, EVAL_CUT),
+           ("qty_only", 2, lambda: F.col("qty"), "qty", 45),
+           ("price_only", 3, lambda: F.col("price"), "price", 80000)]
 
 
 def _scored_long(spark, sf) -> DataFrame:
     df = _test(_rr(spark, sf))
-    items = [F.struct(F.lit(n).alias("model"), F.lit(o).alias("ordinal"), s.cast("double").alias("score"),
-                      (s >= cut).cast("int").alias("prediction")) for n, o, s, _, cut in SCORERS]
+    items = [F.struct(F.lit(n).alias("model"), F.lit(o).alias("ordinal"), s().cast("double").alias("score"),
+                      (s() >= cut).cast("int").alias("prediction")) for n, o, s, _, cut in SCORERS]
     return df.select("label", F.explode(F.array(*items)).alias("m")).select("label", "m.*")
 
 

@@ -9,7 +9,9 @@ Differences from a naive translation, each deliberate:
   after selection, so the saved scaler is the one the classifier was trained behind;
 * rows with null/NaN features are returned as rejects instead of vanishing;
 * every count comes from one conditional aggregate; predictions are persisted once and
-  evaluated from one confusion aggregate plus one AUC pass.
+  evaluated from one confusion aggregate plus one AUC pass;
+* train and test parts are hash-partitioned on the key into at least one partition per
+  core before caching, so iterative fits use every core whatever the file layout.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from riskloom.operators import evaluate as ev
 from riskloom.operators.explain import feature_importances
 from riskloom.operators.features import SCALED, assembler, fit_scaler
 from riskloom.operators.models import ModelSpec, pipeline_model, reference_family
+from riskloom.operators.partitioning import balanced
 from riskloom.operators.quality import any_invalid, rejected_rows, valid_rows
 from riskloom.operators.score import positive_probability
 from riskloom.operators.select import leaderboard, round_metrics, select_winner
@@ -96,10 +99,15 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
     scaler_model = fit_scaler(fit_on)
     scaled = scaler_model.transform(assembled).select(*keys, label, SCALED, "part")
 
-    train = scaled.filter(F.col("part") == "train").drop("part").persist(StorageLevel.MEMORY_AND_DISK)
-    test = scaled.filter(F.col("part") == "test").drop("part").persist(StorageLevel.MEMORY_AND_DISK)
+    # balanced, cached inputs: every fit reads `train` many times, every model scores `test`
+    train = balanced(scaled.filter(F.col("part") == "train").drop("part"), counts["train_rows"], keys)
+    test = balanced(scaled.filter(F.col("part") == "test").drop("part"), counts["test_rows"], keys)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    test = test.persist(StorageLevel.MEMORY_AND_DISK)
     fitted, rows = {}, []
     try:
+        train.count()  # fill both caches up front so the per-model clocks time the models
+        test.count()
         for spec in config.family:
             t0 = time.time()
             model = spec.estimator(SCALED, label).fit(train)
