@@ -95,9 +95,12 @@ def auc_from_counts(counts: DataFrame, boundaries: Sequence[float],
     per-range totals (at most ``len(boundaries) + 2`` rows per group), so no row-level
     join or second pass over the scores is needed.
     """
-    splits = [float("-inf")] + [b for b in boundaries if b not in (float("-inf"), float("inf"))] + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="range_id",
-                          handleInvalid="keep").transform(counts)
+    inner = [b for b in boundaries if b not in (float("-inf"), float("inf"))]
+    if inner:
+        bucketed = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol="score",
+                              outputCol="range_id", handleInvalid="keep").transform(counts)
+    else:
+        bucketed = counts.withColumn("range_id", F.lit(0.0))
     within = (Window.partitionBy(*group_cols, "range_id").orderBy("score")
               .rowsBetween(Window.unboundedPreceding, -1))
     pos = F.col("pos").cast("double")

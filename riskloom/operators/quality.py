@@ -116,6 +116,6 @@ def decode_categories(df: DataFrame, catalog: FeatureCatalog, cols: Sequence[str
     """Adds ``<feature>_label`` for every coded feature that has display names."""
     out = df
     for spec in catalog.features:
-        if spec.labels and (cols is None or spec.name in cols):
+        if spec.labels and spec.name in df.columns and (cols is None or spec.name in cols):
             out = out.withColumn(f"{spec.name}_label", decode_column(spec.name, spec.labels))
     return out
