@@ -37,7 +37,8 @@ from riskloom.plans.fixture_runs import fixture_run
 from riskloom.session import scratch_path, stable_token
 from riskloom.sources import fixtures as fx
 from riskloom.sources import registry
-from riskloom.sources.tables import as_training_frame, records_from_json, zip_features_target
+from riskloom.sources.tables import records_from_json, zip_features_target
+from riskloom.sources.tables import scan_training as scan_training_path
 from riskloom.streaming.score_stream import run_to_completion
 
 CAT = RISK_ROWS_CATALOG
@@ -64,7 +65,8 @@ HI_SCORE_SQL = "CAST(qty * 2 + discount_pct * 3 + is_returned * 20 > 130 AS INTE
 
 
 def _rr(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.risk_rows(spark, sf)
+    """risk_rows, derived once per input folder and session (star join → shared folder)."""
+    return fx.risk_rows_table(spark, sf)
 
 
 def _train(df: DataFrame) -> DataFrame:
@@ -96,7 +98,9 @@ GAP_COLS = ["qty", "discount_pct", "price"]
 
 # ----------------------------------------------------------------------------- sources
 def scan_training(spark, sf):
-    return as_training_frame(_rr(spark, sf), CAT)
+    """Read the modelling table from its path and project it onto the catalog."""
+    _rr(spark, sf)
+    return scan_training_path(spark, fx.risk_rows_path(spark, sf), CAT)
 
 
 SQL_SCAN_TRAINING = RISK + " SELECT row_key, " + ", ".join(

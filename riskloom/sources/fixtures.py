@@ -125,8 +125,16 @@ def materialise(spark: SparkSession, df: DataFrame, name: str, token: str) -> Da
     return out
 
 
+def risk_rows_path(spark: SparkSession, sf_dir: str) -> str:
+    return scratch_path(spark, "tables", f"risk_rows-{stable_token(sf_dir)}")
+
+
 def risk_rows_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``risk_rows`` materialised once per input folder (used by model fits)."""
+    """``risk_rows`` materialised once per input folder and session.
+
+    Every query over the modelling table reads this copy (column-pruned, filters pushed
+    into the scan) instead of repeating the four-way star join and its shuffles.
+    """
     return materialise(spark, risk_rows(spark, sf_dir), "risk_rows", stable_token(sf_dir))
 
 
