@@ -162,3 +162,21 @@ RISK_ROWS_CATALOG = FeatureCatalog(
     label="label",
     key_cols=("row_key",),
 )
+
+
+# Stand-in catalog over document text statistics (see sources/fixtures.doc_quality).
+DOC_QUALITY_CATALOG = FeatureCatalog(
+    features=(
+        ranged("n_chars", 0, None),
+        ranged("n_words", 0, None),
+        ranged("n_lines", 1, None),
+        ranged("distinct_share", 0, 1),
+        ranged("digit_share", 0, 1),
+        binary("lang_de", 0.0),
+        binary("lang_en", 0.0),
+        binary("lang_es", 0.0),
+        binary("lang_fr", 0.0),
+    ),
+    label="quality",
+    key_cols=("doc_id",),
+)

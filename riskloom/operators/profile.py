@@ -38,25 +38,22 @@ def schema_report(spark: SparkSession, df: DataFrame) -> DataFrame:
 def describe_features(df: DataFrame, cols: Sequence[str], decimals: int | None = None) -> DataFrame:
     """count / mean / sample stddev / min / max per column, in long form.
 
-    Unlike ``DataFrame.describe`` (strings), values stay numeric.  One aggregate over all
-    columns, then ``stack`` unpivots the single result row.
+    Unlike ``DataFrame.describe`` (strings), values stay numeric.  The columns are
+    unpivoted in the scan (one struct per feature, exploded) and aggregated by feature:
+    five aggregates over a 21-key grouping stay inside whole-stage codegen, where one
+    105-aggregate row would exceed its field limit and fall back to interpretation.
+    Partial aggregation runs map-side, so the shuffle carries one row per feature and task.
     """
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}"),
-            F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
-        ]
-    wide = df.agg(*aggs)
-    args = ", ".join(
-        f"{i}, '{c}', n{i}, mean{i}, sd{i}, min{i}, max{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr(
-        f"stack({len(cols)}, {args}) AS (ordinal, feature, n, mean, stddev, min_value, max_value)")
+    items = [F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
+             for i, c in enumerate(cols)]
+    long = df.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+    out = long.groupBy("ordinal", "feature").agg(
+        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("stddev"),
+        F.min("x").alias("min_value"), F.max("x").alias("max_value"))
     if decimals is not None:
         for c in ("mean", "stddev", "min_value", "max_value"):
-            long = long.withColumn(c, F.round(c, decimals))
-    return long
+            out = out.withColumn(c, F.round(c, decimals))
+    return out
 
 
 def label_distribution(df: DataFrame, label_col: str, decimals: int = 6) -> DataFrame:
