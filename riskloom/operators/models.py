@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from riskloom.errors import EmptyInput, SingleClassLabel
 from riskloom.operators.features import SCALED
+from riskloom.operators.partitioning import balanced
 
 
 @dataclass(frozen=True)
@@ -96,8 +97,9 @@ def cross_validate(
     reproducible on any cluster shape.
     """
     evaluator = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol=raw_col,
-                                              metricName="areaUnderROC")
+                                              metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=Pipeline(stages=list(stages)), estimatorParamMaps=grid,
                         evaluator=evaluator, foldCol=fold_col, numFolds=num_folds,
                         parallelism=parallelism)
-    return cv.fit(train.withColumn(fold_col, F.col(fold_col).cast("int")))
+    data = balanced(train.withColumn(fold_col, F.col(fold_col).cast("int")), None)
+    return cv.fit(data)

@@ -23,8 +23,19 @@ def target_partitions(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS
     return max(cores, math.ceil(max(n_rows, 1) / rows_per_partition))
 
 
-def balanced(df: DataFrame, n_rows: int, key_cols: Sequence[str] = (),
+def balanced(df: DataFrame, n_rows: int | None, key_cols: Sequence[str] = (),
              rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Repartition for iterative reads (one shuffle, paid once before caching)."""
-    n = target_partitions(df, n_rows, rows_per_partition)
+    """Repartition for iterative reads (one shuffle, paid once before caching).
+
+    Without a row count the partition count never drops below the current one.
+    """
+    if n_rows is None:
+        n = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    else:
+        n = target_partitions(df, n_rows, rows_per_partition)
     return df.repartition(n, *key_cols) if key_cols else df.repartition(n)
+
+
+def tree_depth(n_partitions: int) -> int:
+    """Depth of tree aggregation for per-iteration gradient sums (2 up to ~1000 tasks)."""
+    return 2 if n_partitions <= 1000 else 3

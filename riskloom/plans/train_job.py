@@ -31,7 +31,7 @@ from riskloom.operators import evaluate as ev
 from riskloom.operators.explain import feature_importances
 from riskloom.operators.features import SCALED, assembler, fit_scaler
 from riskloom.operators.models import ModelSpec, pipeline_model, reference_family
-from riskloom.operators.partitioning import balanced
+from riskloom.operators.partitioning import balanced, tree_depth
 from riskloom.operators.quality import any_invalid, rejected_rows, valid_rows
 from riskloom.operators.score import positive_probability
 from riskloom.operators.select import leaderboard, round_metrics, select_winner
@@ -110,7 +110,10 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
         test.count()
         for spec in config.family:
             t0 = time.time()
-            model = spec.estimator(SCALED, label).fit(train)
+            est = spec.estimator(SCALED, label)
+            if est.hasParam("aggregationDepth"):  # same sums, shallower/deeper reduction tree
+                est = est.copy({est.getParam("aggregationDepth"): tree_depth(train.rdd.getNumPartitions())})
+            model = est.fit(train)
             t1 = time.time()
             preds = (model.transform(test)
                      .select(*keys, label, F.col("prediction").cast("int").alias("prediction"),
