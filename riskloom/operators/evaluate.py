@@ -135,19 +135,41 @@ def auc_exact(df: DataFrame, score_col: str, label_col: str, group_cols: Sequenc
     return auc_from_counts(counts, range_boundaries(counts, num_ranges), group_cols)
 
 
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 65_536
+
+
+def ranges_for(n_rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """Enough score ranges that none holds more than ~rows_per_range distinct scores."""
+    return max(1, min(MAX_RANGES, -(-int(n_rows) // rows_per_range)))
+
+
 def evaluate_scores(df: DataFrame, label_col: str, score_col: str, prediction_col: str,
-                    num_ranges: int = DEFAULT_RANGES) -> dict:
+                    num_ranges: int | None = None) -> dict:
     """All metrics of one scored table as a dict (two small result rows reach the driver).
 
-    The distinct-score table is cached for the quantile pass and the AUC pass.
+    One pass groups the scored rows by (score, prediction) into (pos, neg) counts and
+    caches that table; the confusion counts and the AUC input are both read from it.
+    The number of score ranges follows the row count (a single range, and no quantile
+    job, up to ``ROWS_PER_RANGE`` rows).
     """
-    m = metrics_from_confusion(confusion_counts(df, label_col, prediction_col)).first()
-    counts = score_label_counts(df, score_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
+    lab = F.col(label_col)
+    cells = (df.filter(lab.isNotNull() & F.col(score_col).isNotNull())
+             .groupBy(F.col(score_col).cast("double").alias("score"),
+                      F.col(prediction_col).cast("int").alias("prediction"))
+             .agg(F.count(F.when(lab == 1, 1)).alias("pos"), F.count(F.when(lab != 1, 1)).alias("neg"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        a = auc_from_counts(counts, range_boundaries(counts, num_ranges)).first()
+        conf = (cells.select("prediction", F.lit(1).alias("label"), F.col("pos").alias("rows"))
+                .unionByName(cells.select("prediction", F.lit(0).alias("label"), F.col("neg").alias("rows"))))
+        m = metrics_from_confusion(conf).first()
+        n = 0 if m is None or m["n"] is None else m["n"]
+        k = num_ranges or ranges_for(n)
+        counts = cells.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        a = auc_from_counts(counts, range_boundaries(counts, k) if k > 1 else []).first()
     finally:
-        counts.unpersist()
-    out = m.asDict() if m is not None else {}
+        cells.unpersist()
+    out = m.asDict() if m is not None and m["n"] else {}
     out.update({"auc": None if a is None else a["auc"],
                 "single_class": True if a is None else bool(a["single_class"])})
     return out

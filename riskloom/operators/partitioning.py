@@ -3,7 +3,7 @@
 A scan's partitions follow the file layout: a few large row groups leave most read
 splits empty, so an iterative fit (100 LR iterations, 150 tree levels) would run on a
 handful of cores.  Before caching such data we hash-partition it on its (unique) key
-into at least one partition per core and at most ``rows_per_partition`` rows each.
+into at least two partitions per core and at most ``rows_per_partition`` rows each.
 Hashing a unique key is balanced and deterministic, so recomputing a lost partition
 after executor loss yields the same rows.
 """
@@ -18,9 +18,13 @@ from pyspark.sql import DataFrame
 ROWS_PER_PARTITION = 1_000_000
 
 
+TASKS_PER_CORE = 2
+
+
 def target_partitions(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Two tasks per core (load balance across uneven cores), at most ~1M rows per task."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(cores, math.ceil(max(n_rows, 1) / rows_per_partition))
+    return max(TASKS_PER_CORE * cores, math.ceil(max(n_rows, 1) / rows_per_partition))
 
 
 def balanced(df: DataFrame, n_rows: int | None, key_cols: Sequence[str] = (),

@@ -8,8 +8,9 @@ Differences from a naive translation, each deliberate:
 * the deliverable pipeline is assembled from the *fitted* stages — nothing is refitted
   after selection, so the saved scaler is the one the classifier was trained behind;
 * rows with null/NaN features are returned as rejects instead of vanishing;
-* every count comes from one conditional aggregate; predictions are persisted once and
-  evaluated from one confusion aggregate plus one AUC pass;
+* every count comes from one conditional aggregate; each model's predictions are
+  reduced in one pass to (score, prediction) cells that feed both the confusion
+  metrics and the exact AUC;
 * train and test parts are hash-partitioned on the key into at least one partition per
   core before caching, so iterative fits use every core whatever the file layout.
 """
@@ -46,7 +47,7 @@ class TrainConfig:
     train_percent: int = 80
     bucket_col: str | None = None       # reuse a split bucket the table already carries
     scaler_scope: str = "train"         # "train" (no leakage) or "all" (reference behaviour)
-    num_ranges: int = ev.DEFAULT_RANGES
+    num_ranges: int | None = None       # AUC score ranges; None = from the test row count
     model_dir: str | None = None        # save pipeline + reports here when given
 
 
@@ -115,14 +116,10 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
                 est = est.copy({est.getParam("aggregationDepth"): tree_depth(train.rdd.getNumPartitions())})
             model = est.fit(train)
             t1 = time.time()
-            preds = (model.transform(test)
-                     .select(*keys, label, F.col("prediction").cast("int").alias("prediction"),
-                             positive_probability("rawPrediction").alias("raw_score"))
-                     .persist(StorageLevel.MEMORY_AND_DISK))
-            try:
-                m = ev.evaluate_scores(preds, label, "raw_score", "prediction", config.num_ranges)
-            finally:
-                preds.unpersist()
+            preds = model.transform(test).select(
+                label, F.col("prediction").cast("int").alias("prediction"),
+                positive_probability("rawPrediction").alias("raw_score"))
+            m = ev.evaluate_scores(preds, label, "raw_score", "prediction", config.num_ranges)
             t2 = time.time()
             fitted[spec.name] = model
             rows.append({
