@@ -2,17 +2,17 @@
 
 A scan's partitions follow the file layout: a few large row groups leave most read
 splits empty, so an iterative fit (100 LR iterations, 150 tree levels) would run on a
-handful of cores.  Before caching such data we hash-partition it on its (unique) key
-into at least two partitions per core and at most ``rows_per_partition`` rows each.
-Hashing a unique key is balanced and deterministic, so recomputing a lost partition
-after executor loss yields the same rows.
+handful of cores.  Before caching such data we spread it round-robin into at least two
+partitions per core and at most ``rows_per_partition`` rows each.  Round-robin (not a
+hash of the key) keeps partitions equal even when one key or a group of identical rows
+holds a large share of the table; Spark sorts each input partition before a
+round-robin exchange (``spark.sql.execution.sortBeforeRepartition``), so a partition
+recomputed after executor loss receives the same rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 
 ROWS_PER_PARTITION = 1_000_000
@@ -27,17 +27,16 @@ def target_partitions(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS
     return max(TASKS_PER_CORE * cores, math.ceil(max(n_rows, 1) / rows_per_partition))
 
 
-def balanced(df: DataFrame, n_rows: int | None, key_cols: Sequence[str] = (),
-             rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Repartition for iterative reads (one shuffle, paid once before caching).
+def balanced(df: DataFrame, n_rows: int | None, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Round-robin repartition for iterative reads (one shuffle, paid once before caching).
 
     Without a row count the partition count never drops below the current one.
     """
     if n_rows is None:
-        n = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+        n = max(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
     else:
         n = target_partitions(df, n_rows, rows_per_partition)
-    return df.repartition(n, *key_cols) if key_cols else df.repartition(n)
+    return df.repartition(n)
 
 
 def tree_depth(n_partitions: int) -> int:

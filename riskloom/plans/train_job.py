@@ -11,8 +11,8 @@ Differences from a naive translation, each deliberate:
 * every count comes from one conditional aggregate; each model's predictions are
   reduced in one pass to (score, prediction) cells that feed both the confusion
   metrics and the exact AUC;
-* train and test parts are hash-partitioned on the key into at least one partition per
-  core before caching, so iterative fits use every core whatever the file layout.
+* train and test parts are spread round-robin into at least two partitions per core
+  before caching, so iterative fits use every core whatever the file layout or key skew.
 """
 
 from __future__ import annotations
@@ -101,8 +101,8 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
     scaled = scaler_model.transform(assembled).select(*keys, label, SCALED, "part")
 
     # balanced, cached inputs: every fit reads `train` many times, every model scores `test`
-    train = balanced(scaled.filter(F.col("part") == "train").drop("part"), counts["train_rows"], keys)
-    test = balanced(scaled.filter(F.col("part") == "test").drop("part"), counts["test_rows"], keys)
+    train = balanced(scaled.filter(F.col("part") == "train").drop("part"), counts["train_rows"])
+    test = balanced(scaled.filter(F.col("part") == "test").drop("part"), counts["test_rows"])
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     fitted, rows = {}, []
