@@ -40,17 +40,17 @@ def main() -> None:
     def force(df):
         df.write.format("noop").mode("overwrite").save()
 
-    # star join → materialised modelling table (input of every fit)
+    # star join → materialised modelling table (input of every query and fit); the model
+    # family is timed first, on a fresh session, as the reference times its own run
     timed("risk_rows_materialise", lambda: risk_rows_table(spark, sf_dir))
-    for key in ("describe_features", "label_distribution", "domain_violations", "scaler_stats",
-                "scaled_features", "auc_exact", "leaderboard_from_scores", "top_k_importances",
-                "zip_features_target", "score_linear"):
-        timed(key, lambda k=key: force(R.QUERIES[k](spark, sf_dir)))
-
     run = timed("train_family_total", lambda: fixture_run(spark, sf_dir))
     short = {"Logistic Regression": "lr", "Random Forest": "rf", "Gradient Boosted Trees": "gbt"}
     for row in run.board_rows:
         times[f"{short[row['model']]}_fit_score_eval"] = row["training_time_sec"]
+    for key in ("describe_features", "label_distribution", "domain_violations", "scaler_stats",
+                "scaled_features", "auc_exact", "leaderboard_from_scores", "top_k_importances",
+                "zip_features_target", "score_linear"):
+        timed(key, lambda k=key: force(R.QUERIES[k](spark, sf_dir)))
     timed("score_batch", lambda: force(R.score_batch(spark, sf_dir)))
     timed("score_stream", lambda: force(R.score_stream(spark, sf_dir)))
 
