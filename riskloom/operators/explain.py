@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions.local import local_frame
+
 IMPORTANCE_SCHEMA = T.StructType([
     T.StructField("ordinal", T.IntegerType(), False),
     T.StructField("feature", T.StringType(), False),
@@ -36,7 +38,7 @@ def feature_importances(spark: SparkSession, model, names: Sequence[str], decima
     if len(values) != len(names):
         return None
     rows = [(i, n, round(float(values[i]), decimals)) for i, n in enumerate(names)]
-    return spark.createDataFrame(rows, IMPORTANCE_SCHEMA)
+    return local_frame(spark, rows, IMPORTANCE_SCHEMA)
 
 
 def coefficients(spark: SparkSession, model, names: Sequence[str]) -> DataFrame | None:
@@ -49,7 +51,7 @@ def coefficients(spark: SparkSession, model, names: Sequence[str]) -> DataFrame
     rows.append((-1, "(intercept)", float(model.intercept)))
     schema = T.StructType([T.StructField("ordinal", T.IntegerType()), T.StructField("feature", T.StringType()),
                            T.StructField("coefficient", T.DoubleType())])
-    return spark.createDataFrame(rows, schema)
+    return local_frame(spark, rows, schema)
 
 
 def top_k(df: DataFrame, value_col: str, k: int, tie_cols: Sequence[str] = ("feature",),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.errors import EmptyInput
+from riskloom.functions.local import local_frame
 
 FEATURES = "features"
 SCALED = "scaled_features"
@@ -48,7 +49,7 @@ def scaler_stats(spark: SparkSession, model: StandardScalerModel, names: Sequenc
         T.StructField("mean", T.DoubleType(), False),
         T.StructField("std", T.DoubleType(), False),
     ])
-    return spark.createDataFrame(rows, schema)
+    return local_frame(spark, rows, schema)
 
 
 def vector_columns(df: DataFrame, vector_col: str, names: Sequence[str], keep: Sequence[str] = (),

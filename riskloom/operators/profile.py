@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions.local import local_frame
+
 
 def split_counts(df: DataFrame, part_col: str = "part", label_col: str | None = None) -> DataFrame:
     """Rows (and positives) per split part plus an ``all`` row, from one aggregation."""
@@ -32,7 +34,7 @@ def schema_report(spark: SparkSession, df: DataFrame) -> DataFrame:
         T.StructField("data_type", T.StringType(), False),
         T.StructField("nullable", T.BooleanType(), False),
     ])
-    return spark.createDataFrame(rows, schema)
+    return local_frame(spark, rows, schema)
 
 
 def describe_features(df: DataFrame, cols: Sequence[str], decimals: int | None = None) -> DataFrame:

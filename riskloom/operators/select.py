@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.formatting import percent_text
+from riskloom.functions.local import local_frame
 
 LEADERBOARD_SCHEMA = T.StructType([
     T.StructField("model", T.StringType(), False),
@@ -33,7 +34,7 @@ LEADERBOARD_SCHEMA = T.StructType([
 def leaderboard(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     """One row per trained model (bounded by the family size)."""
     data = [tuple(r.get(f.name) for f in LEADERBOARD_SCHEMA.fields) for r in rows]
-    return spark.createDataFrame(data, LEADERBOARD_SCHEMA)
+    return local_frame(spark, data, LEADERBOARD_SCHEMA)
 
 
 def round_metrics(board: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import RISK_ROWS_CATALOG
 from riskloom.functions.formatting import percent_text, thousands_text
+from riskloom.functions.local import local_frame
 from riskloom.operators import evaluate as ev
 from riskloom.operators import explain as ex
 from riskloom.operators import profile as pf
@@ -341,7 +342,7 @@ def fit_logistic(spark, sf):
     data = _single_feature_train(spark, sf, F.col("is_returned"), "is_returned")
     model = LogisticRegression(maxIter=200, tol=1e-12).fit(data)
     row = [(float(model.intercept), float(model.coefficients[0]))]
-    return spark.createDataFrame(row, "intercept double, coefficient double").select(
+    return local_frame(spark, row, "intercept double, coefficient double").select(
         F.round("intercept", 4).alias("intercept"), F.round("coefficient", 4).alias("coefficient"))
 
 
@@ -428,7 +429,7 @@ def cross_validate_q(spark, sf):
                          num_folds=fx.NUM_FOLDS)
     rows = [(float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(m))
             for pm, m in zip(cvm.getEstimatorParamMaps(), cvm.avgMetrics)]
-    return spark.createDataFrame(rows, "reg_param double, elastic_net double, mean_auc double")
+    return local_frame(spark, rows, "reg_param double, elastic_net double, mean_auc double")
 
 
 # ----------------------------------------------------------------------------- scoring

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.catalog import FeatureCatalog
+from riskloom.functions.local import local_frame
 from riskloom.errors import EmptyInput, SingleClassLabel
 from riskloom.operators import evaluate as ev
 from riskloom.operators.explain import feature_importances
@@ -147,7 +148,7 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
     if config.model_dir:
         registry.save_pipeline(best, f"{config.model_dir}/best_model")
         registry.write_tables({"leaderboard": board, "importances": imps,
-                               "run_info": spark.createDataFrame([info])}, f"{config.model_dir}/tables")
+                               "run_info": local_frame(spark, [tuple(info.values())], ", ".join(f"{k} bigint" for k in info))}, f"{config.model_dir}/tables")
         registry.write_report_json(spark, report, f"{config.model_dir}/metrics")
 
     return RunResult(board, board_rows, winner, best, fitted, imps, info, rejects, report)

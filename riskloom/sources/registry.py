@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 
 from riskloom.catalog import FeatureCatalog
 from riskloom.errors import CatalogMismatch, ModelUnavailable
+from riskloom.functions.local import local_frame
 
 
 def save_pipeline(model: PipelineModel, path: str) -> str:
@@ -73,7 +74,7 @@ def report_document(board_rows: list[dict], winner: str, importances: list[tuple
 def write_report_json(spark: SparkSession, report: dict, path: str) -> None:
     """Write the report as one JSON document (Unicode kept, folder created/replaced)."""
     text = json.dumps(report, indent=2, ensure_ascii=False)
-    spark.createDataFrame([(text,)], "report string").coalesce(1).write.mode("overwrite").text(path)
+    local_frame(spark, [(text,)], "report string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame | None:
