@@ -300,10 +300,11 @@ def scaled_features(spark, sf):
     return vector_columns(out, "scaled_features", FEATS, keep=[KEY], decimals=6)
 
 
+# "+ 0.0" folds DuckDB's -0.0 (from rounding tiny negatives) into 0.0, as Spark's round does.
 SQL_SCALED = RISK + ", st AS (SELECT " + ", ".join(
     f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATS) + " FROM risk_rows WHERE split_bucket < 80) " \
     + "SELECT row_key, " + ", ".join(
-        f"round(CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END, 6) AS {c}" for c in FEATS) \
+        f"round(CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END, 6) + 0.0 AS {c}" for c in FEATS) \
     + " FROM risk_rows, st"
 
 
@@ -401,7 +402,8 @@ g AS (
   SELECT 'is_returned', count(*) FILTER (WHERE is_returned = 0), count(*) FILTER (WHERE is_returned = 1),
          avg(t) FILTER (WHERE is_returned = 0), avg(t) FILTER (WHERE is_returned = 1) FROM tr),
 gain AS (SELECT feature, n0 * n1 / (n0 + n1) * (m1 - m0) * (m1 - m0) AS gain FROM g)
-SELECT feature, CASE WHEN gain = max(gain) OVER () THEN 1.0 ELSE 0.0 END AS importance FROM gain"""
+SELECT feature, CAST(CASE WHEN gain = max(gain) OVER () THEN 1.0 ELSE 0.0 END AS DOUBLE) AS importance
+FROM gain"""
 
 
 def train_family(spark, sf):
