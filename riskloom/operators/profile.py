@@ -25,8 +25,12 @@ def split_counts(df: DataFrame, part_col: str = "part", label_col: str | None =
     return by_part.unionByName(total.withColumn("part", F.lit("all")))
 
 
-def schema_report(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """(ordinal, column, type, nullable) for every column; built from the schema only."""
+def schema_report(spark: SparkSession, df: DataFrame, with_counts: bool = False) -> DataFrame:
+    """(ordinal, column_name, data_type, nullable) for every column.
+
+    ``with_counts`` adds ``non_null_rows`` per column from one aggregate over the table
+    (unpivoted with ``stack``), so the report also shows which columns carry gaps.
+    """
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
     schema = T.StructType([
         T.StructField("ordinal", T.IntegerType(), False),
@@ -34,7 +38,13 @@ def schema_report(spark: SparkSession, df: DataFrame) -> DataFrame:
         T.StructField("data_type", T.StringType(), False),
         T.StructField("nullable", T.BooleanType(), False),
     ])
-    return local_frame(spark, rows, schema)
+    report = local_frame(spark, rows, schema)
+    if not with_counts:
+        return report
+    wide = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+    args = ", ".join(f"{i}, c{i}" for i in range(len(df.schema.fields)))
+    counts = wide.selectExpr(f"stack({len(df.schema.fields)}, {args}) AS (ordinal, non_null_rows)")
+    return report.join(counts, "ordinal")
 
 
 def describe_features(df: DataFrame, cols: Sequence[str], decimals: int | None = None) -> DataFrame:

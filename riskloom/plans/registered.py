@@ -137,7 +137,17 @@ UNION ALL SELECT 'all', count(*), sum(label) FROM p"""
 
 
 def schema_report(spark, sf):
-    return pf.schema_report(spark, _rr(spark, sf))
+    rep = pf.schema_report(spark, _rr(spark, sf), with_counts=True)
+    return rep.select("ordinal", "column_name", "data_type", "non_null_rows")
+
+
+_RISK_COLUMNS = ["row_key", *FEATS, "split_bucket", "fold", "label"]
+# DuckDB type names → Spark's simple type names (the only types risk_rows carries).
+_SPARK_TYPE = "CASE {t} WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' " \
+              "WHEN 'VARCHAR' THEN 'string' ELSE lower({t}) END"
+SQL_SCHEMA_REPORT = RISK + " " + " UNION ALL ".join(
+    f"SELECT {i} AS ordinal, '{c}' AS column_name, {_SPARK_TYPE.format(t=f'any_value(typeof({c}))')} AS data_type, "
+    f"count({c}) AS non_null_rows FROM risk_rows" for i, c in enumerate(_RISK_COLUMNS))
 
 
 def describe_features(spark, sf):
@@ -713,6 +723,7 @@ ORACLE_SQL: dict[str, str] = {
     "zip_features_target": SQL_ZIP,
     "records_from_json": SQL_RECORDS,
     "split_counts": SQL_SPLIT_COUNTS,
+    "schema_report": SQL_SCHEMA_REPORT,
     "describe_features": SQL_DESCRIBE,
     "label_distribution": SQL_LABEL_DIST,
     "dataset_info": SQL_DATASET_INFO,

@@ -60,3 +60,13 @@ def test_train_job_on_document_table(spark):
     assert info["total_rows"] == labelled.count() == info["train_rows"] + info["test_rows"]
     assert run.winner == "Logistic Regression"
     assert 0.0 <= run.board_rows[0]["auc_roc"] <= 1.0
+
+
+def test_binned_auc_option_close_to_exact(spark):
+    """auc_bins=1000 reproduces the reference's (approximate) evaluator setting."""
+    table = fx.risk_rows_table(spark, SF_SMALL)
+    lr_only = [s for s in reference_family() if s.ordinal == 1]
+    exact = train_job(spark, table, TrainConfig(CAT, lr_only, bucket_col="split_bucket")).board_rows[0]
+    binned = train_job(spark, table, TrainConfig(CAT, lr_only, bucket_col="split_bucket", auc_bins=1000)).board_rows[0]
+    assert abs(exact["auc_roc"] - binned["auc_roc"]) <= 0.002
+    assert exact["accuracy"] == binned["accuracy"]
