@@ -41,6 +41,19 @@ def feature_importances(spark: SparkSession, model, names: Sequence[str], decima
     return local_frame(spark, rows, IMPORTANCE_SCHEMA)
 
 
+def tree_stats(model) -> dict:
+    """Trees, root-only trees and total nodes of a tree ensemble (empty dict otherwise).
+
+    A forest on an imbalanced label can merge sibling leaves with the same predicted
+    class until whole trees are a single root node; counting them makes that visible.
+    """
+    trees = getattr(model, "trees", None)
+    if not trees:
+        return {}
+    return {"trees": len(trees), "root_only_trees": sum(1 for t in trees if t.depth == 0),
+            "tree_nodes": sum(t.numNodes for t in trees)}
+
+
 def coefficients(spark: SparkSession, model, names: Sequence[str]) -> DataFrame | None:
     """Logistic-regression coefficients (on the scaled features) — not importances."""
     coef = getattr(model, "coefficients", None)

@@ -25,6 +25,9 @@ LEADERBOARD_SCHEMA = T.StructType([
     T.StructField("recall", T.DoubleType(), True),
     T.StructField("predicted_positive", T.LongType(), True),
     T.StructField("test_rows", T.LongType(), True),
+    T.StructField("trees", T.IntegerType(), True),
+    T.StructField("root_only_trees", T.IntegerType(), True),
+    T.StructField("tree_nodes", T.IntegerType(), True),
     T.StructField("fit_sec", T.DoubleType(), True),
     T.StructField("score_eval_sec", T.DoubleType(), True),
     T.StructField("training_time_sec", T.DoubleType(), True),

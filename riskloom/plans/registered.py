@@ -419,7 +419,8 @@ FROM gain"""
 def train_family(spark, sf):
     run = fixture_run(spark, sf)
     return run.leaderboard.select("model", "ordinal", "accuracy", "auc_roc", "f1_score", "positive_f1",
-                                  "recall", "predicted_positive", "test_rows", "is_winner")
+                                  "recall", "predicted_positive", "test_rows", "trees", "root_only_trees",
+                                  "is_winner")
 
 
 def leaderboard_q(spark, sf):

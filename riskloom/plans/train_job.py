@@ -31,7 +31,7 @@ from riskloom.catalog import FeatureCatalog
 from riskloom.functions.local import local_frame
 from riskloom.errors import EmptyInput, SingleClassLabel
 from riskloom.operators import evaluate as ev
-from riskloom.operators.explain import feature_importances
+from riskloom.operators.explain import coefficients, feature_importances, tree_stats
 from riskloom.operators.features import SCALED, assembler, fit_scaler
 from riskloom.operators.models import ModelSpec, pipeline_model, reference_family
 from riskloom.operators.partitioning import balanced, tree_depth
@@ -63,6 +63,7 @@ class RunResult:
     pipeline: PipelineModel
     fitted: dict[str, object]
     importances: DataFrame | None
+    coefficients: DataFrame | None      # set when logistic regression wins (not importances)
     dataset_info: dict
     rejects: DataFrame
     report: dict
@@ -136,6 +137,7 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
                 "positive_f1": m.get("positive_f1"), "recall": m.get("recall"),
                 "predicted_positive": m.get("predicted_positive"), "test_rows": m.get("n"),
                 "fit_sec": t1 - t0, "score_eval_sec": t2 - t1, "training_time_sec": t2 - t0,
+                **tree_stats(model),
             })
     finally:
         train.unpersist()
@@ -158,4 +160,5 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
                                "run_info": local_frame(spark, [tuple(info.values())], ", ".join(f"{k} bigint" for k in info))}, f"{config.model_dir}/tables")
         registry.write_report_json(spark, report, f"{config.model_dir}/metrics")
 
-    return RunResult(board, board_rows, winner, best, fitted, imps, info, rejects, report)
+    coefs = coefficients(spark, fitted[winner], cat.names)
+    return RunResult(board, board_rows, winner, best, fitted, imps, coefs, info, rejects, report)

@@ -123,3 +123,14 @@ def test_scaler_fitted_on_train_only(spark, run):
     scaler = run.pipeline.stages[1]
     train = risk_rows_table(spark, SF_SMALL).filter("split_bucket < 80")
     assert scaler.mean[0] == pytest.approx(train.agg(F.avg("qty")).first()[0], rel=1e-12)
+
+
+def test_tree_diagnostics_and_coefficients(spark, run):
+    by_name = {r["model"]: r for r in run.board_rows}
+    assert by_name["Random Forest"]["trees"] == 30 and by_name["Gradient Boosted Trees"]["trees"] == 25
+    assert 0 <= by_name["Random Forest"]["root_only_trees"] <= 30
+    assert by_name["Logistic Regression"]["trees"] is None
+    if run.winner == "Logistic Regression":
+        coefs = {r["feature"]: r["coefficient"] for r in run.coefficients.collect()}
+        assert set(coefs) == set(CAT.names) | {"(intercept)"}
+        assert run.importances is None
