@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 def _schema(schema: T.StructType | str) -> T.StructType:
     if isinstance(schema, T.StructType):
         return schema
-    return T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else T._parse_datatype_string(schema)
+    return T.StructType.fromDDL(schema)
 
 
 def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
