@@ -57,13 +57,28 @@ def as_training_frame(df: DataFrame, catalog: FeatureCatalog) -> DataFrame:
                      F.col(catalog.label).cast("double").alias(catalog.label))
 
 
-def zip_features_target(features: DataFrame, targets: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+def duplicate_keys(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once (count per key is combined map-side, so a hot key
+    costs one row per task, not a task holding all its rows)."""
+    return df.groupBy(*key_cols).count().filter(F.col("count") > 1)
+
+
+def zip_features_target(features: DataFrame, targets: DataFrame, key_cols: Sequence[str],
+                        validate_unique: bool = True) -> DataFrame:
     """Features and targets side by side on an explicit key (full outer: no row lost).
 
     The reference aligns two frames by row position; a distributed table has no stable
-    row position, so the key is required.
+    row position, so the key is required.  Keys must be unique on both sides: a
+    duplicated key would make the join emit every pair of its rows, so it is refused
+    (``CatalogMismatch``) instead.
     """
-    return features.join(targets, list(key_cols), "full_outer")
+    keys = list(key_cols)
+    if validate_unique:
+        for side, df in (("features", features), ("targets", targets)):
+            dup = duplicate_keys(df.select(*keys), keys).first()
+            if dup is not None:
+                raise CatalogMismatch(f"{side} key {keys} is not unique, e.g. {dup.asDict()}")
+    return features.join(targets, keys, "full_outer")
 
 
 def read_records(spark: SparkSession, path: str, catalog: FeatureCatalog, fmt: str = "json") -> DataFrame:
