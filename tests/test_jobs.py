@@ -134,3 +134,10 @@ def test_tree_diagnostics_and_coefficients(spark, run):
         coefs = {r["feature"]: r["coefficient"] for r in run.coefficients.collect()}
         assert set(coefs) == set(CAT.names) | {"(intercept)"}
         assert run.importances is None
+
+
+def test_stream_query_repeatable(spark):
+    """A second run in the same session resumes from its checkpoint: no duplicate output."""
+    first = E.queries()["score_stream"](spark, SF_SMALL).count()
+    again = E.queries()["score_stream"](spark, SF_SMALL)
+    assert again.count() == first == again.select("row_key").distinct().count()
