@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from riskloom.errors import EmptyInput, SingleClassLabel
 from riskloom.operators.features import SCALED
-from riskloom.operators.partitioning import balanced
 
 
 @dataclass(frozen=True)
@@ -101,5 +100,5 @@ def cross_validate(
     cv = CrossValidator(estimator=Pipeline(stages=list(stages)), estimatorParamMaps=grid,
                         evaluator=evaluator, foldCol=fold_col, numFolds=num_folds,
                         parallelism=parallelism)
-    data = balanced(train.withColumn(fold_col, F.col(fold_col).cast("int")), None)
-    return cv.fit(data)
+    # CrossValidator caches each fold's fit and validation parts itself
+    return cv.fit(train.withColumn(fold_col, F.col(fold_col).cast("int")))

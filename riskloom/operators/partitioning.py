@@ -2,8 +2,9 @@
 
 A scan's partitions follow the file layout: a few large row groups leave most read
 splits empty, so an iterative fit (100 LR iterations, 150 tree levels) would run on a
-handful of cores.  Before caching such data we spread it round-robin into at least two
-partitions per core and at most ``rows_per_partition`` rows each.  Round-robin (not a
+handful of cores.  Before caching such data we spread it round-robin into up to two
+partitions per core (none smaller than ~10k rows) and at most ``rows_per_partition``
+rows each.  Round-robin (not a
 hash of the key) keeps partitions equal even when one key or a group of identical rows
 holds a large share of the table; Spark sorts each input partition before a
 round-robin exchange (``spark.sql.execution.sortBeforeRepartition``), so a partition
@@ -21,10 +22,16 @@ ROWS_PER_PARTITION = 1_000_000
 TASKS_PER_CORE = 2
 
 
+MIN_ROWS_PER_PARTITION = 10_000
+
+
 def target_partitions(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
-    """Two tasks per core (load balance across uneven cores), at most ~1M rows per task."""
+    """At most ~1M rows per task; up to two tasks per core, but none with fewer than
+    ~10k rows (an iterative fit runs one job per step, so tiny tasks only add overhead)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(TASKS_PER_CORE * cores, math.ceil(max(n_rows, 1) / rows_per_partition))
+    rows = max(n_rows, 1)
+    spread = min(TASKS_PER_CORE * cores, math.ceil(rows / MIN_ROWS_PER_PARTITION))
+    return max(1, spread, math.ceil(rows / rows_per_partition))
 
 
 def balanced(df: DataFrame, n_rows: int | None, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:

@@ -286,10 +286,16 @@ def assembled_features(spark, sf):
 SQL_ASSEMBLED = RISK + " SELECT row_key, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATS) + " FROM risk_rows"
 
 
+_SCALERS: dict[tuple[str, str], tuple] = {}
+
+
 def _scaler_on_train(spark, sf):
-    asm = assembler(FEATS)
-    base = fx.risk_rows_table(spark, sf)
-    return asm, fit_scaler(asm.transform(_train(base)))
+    """Assembler + scaler fitted on the training part (once per input and session)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SCALERS:
+        asm = assembler(FEATS)
+        _SCALERS[key] = (asm, fit_scaler(asm.transform(_train(fx.risk_rows_table(spark, sf)))))
+    return _SCALERS[key]
 
 
 def scaler_stats_q(spark, sf):
