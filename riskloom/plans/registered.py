@@ -46,22 +46,22 @@ FEATS = fx.RISK_FEATURES
 KEY = "row_key"
 RISK = "WITH " + fx.RISK_ROWS_SQL
 
-# Integer score both engines compute identically (for evaluation operators).
-def eval_score():
-    return F.col("qty") * 2 + F.col("discount_pct") * 3
-
-
 EVAL_SCORE_SQL = "(qty * 2 + discount_pct * 3)"
 EVAL_CUT = 110
 # Fixed (not trained) logistic coefficients for the SQL form of a linear model.
 LINEAR_COEFS = {"qty": 0.12, "discount_pct": 0.3, "is_returned": 1.1}
 LINEAR_INTERCEPT = -6.5
-# Binary feature for the tree closed forms; its two label rates straddle 0.5.
-def hi_score():
-    return ((F.col("qty") * 2 + F.col("discount_pct") * 3 + F.col("is_returned") * 20) > 130).cast("int")
+HI_SCORE_SQL = "CAST(qty * 2 + discount_pct * 3 + is_returned * 20 > 130 AS INTEGER)"
 
 
-HI_SCORE_SQL = "CAST(qty * 2 + discount_pct * 3 + is_returned * 20 > 130 AS INTEGER)"
+def eval_score():
+    """Integer score both engines compute identically (input of the evaluation operators)."""
+    return F.col("qty") * 2 + F.col("discount_pct") * 3
+
+
+def hi_score():
+    """Binary feature for the tree closed forms; its two label rates straddle 0.5."""
+    return ((F.col("qty") * 2 + F.col("discount_pct") * 3 + F.col("is_returned") * 20) > 130).cast("int")
 
 
 def _rr(spark: SparkSession, sf: str) -> DataFrame:

@@ -53,3 +53,14 @@ def test_reference_family_settings():
 def test_documented_grids_have_four_points():
     for spec in reference_family():
         assert len(reference_grids(spec.estimator())) == 4
+
+
+def test_check_trainable_refuses_single_class_and_empty(spark):
+    from riskloom.errors import EmptyInput, SingleClassLabel
+    from riskloom.operators.models import check_trainable
+
+    assert check_trainable(spark.createDataFrame([(0.0,), (1.0,), (1.0,)], "label double"), "label") == {0.0: 1, 1.0: 2}
+    with pytest.raises(SingleClassLabel):
+        check_trainable(spark.createDataFrame([(1.0,), (1.0,)], "label double"), "label")
+    with pytest.raises(EmptyInput):
+        check_trainable(spark.createDataFrame([], "label double"), "label")
