@@ -23,25 +23,45 @@ def training_schema(catalog: FeatureCatalog) -> T.StructType:
                         + [T.StructField(catalog.label, T.DoubleType(), True)])
 
 
+def _csv_by_name(spark: SparkSession, path: str, wanted: Sequence[str],
+                 options: dict[str, str] | None = None) -> DataFrame:
+    """CSV with a header, matched to the catalog *by column name*.
+
+    A user schema would bind CSV columns by position, silently swapping features when a
+    file orders its columns differently; reading the header as strings (no inference
+    pass) and selecting by name avoids that.
+    """
+    df = spark.read.options(**(options or {})).option("header", "true").csv(path)
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise CatalogMismatch(f"missing columns: {', '.join(missing)}")
+    return df
+
+
 def scan_training(spark: SparkSession, path: str, catalog: FeatureCatalog, fmt: str = "parquet",
                   options: dict[str, str] | None = None) -> DataFrame:
     """Read a labelled table and project it onto the catalog (keys, features, label).
 
-    Parquet keeps its own column types (cast to the catalog's); text formats are read
-    under the catalog schema.  Any read/shape problem becomes ``CatalogMismatch``.
+    Parquet keeps its own column types (cast to the catalog's); JSON is read under the
+    catalog schema (fields bind by name); CSV binds by header name, and text that does
+    not parse as a number becomes null — a rejected row, not a failed job.  Any read or
+    shape problem becomes ``CatalogMismatch``.
     """
+    wanted = list(catalog.key_cols) + catalog.names + [catalog.label]
     try:
-        reader = spark.read.options(**(options or {}))
-        if fmt == "parquet":
-            df = reader.parquet(path)
+        if fmt == "csv":
+            df = _csv_by_name(spark, path, wanted, options)
+            num = lambda c: F.col(c).try_cast("double")
         else:
-            if fmt == "csv":
-                reader = reader.option("header", "true")
-            df = reader.schema(training_schema(catalog)).format(fmt).load(path)
-        catalog.check(df, require_label=True)
+            reader = spark.read.options(**(options or {}))
+            if fmt == "parquet":
+                df = reader.parquet(path)
+            else:
+                df = reader.schema(training_schema(catalog)).format(fmt).load(path)
+            catalog.check(df, require_label=True)
+            num = lambda c: F.col(c).cast("double")
         cols = ([F.col(k).cast("string").alias(k) for k in catalog.key_cols]
-                + [F.col(n).cast("double").alias(n) for n in catalog.names]
-                + [F.col(catalog.label).cast("double").alias(catalog.label)])
+                + [num(n).alias(n) for n in catalog.names] + [num(catalog.label).alias(catalog.label)])
         return df.select(*cols)
     except CatalogMismatch:
         raise
@@ -82,11 +102,16 @@ def zip_features_target(features: DataFrame, targets: DataFrame, key_cols: Seque
 
 
 def read_records(spark: SparkSession, path: str, catalog: FeatureCatalog, fmt: str = "json") -> DataFrame:
-    """Records to score (JSON lines, CSV, Parquet) under the catalog's record schema."""
-    reader = spark.read.schema(catalog.record_schema())
+    """Records to score (JSON lines, CSV, Parquet) under the catalog's record schema.
+
+    CSV columns bind by header name (see ``_csv_by_name``); JSON fields by name.
+    """
     if fmt == "csv":
-        reader = reader.option("header", "true")
-    return reader.format(fmt).load(path)
+        wanted = list(catalog.key_cols) + catalog.names
+        df = _csv_by_name(spark, path, wanted)
+        return df.select(*[F.col(k).alias(k) for k in catalog.key_cols],
+                         *[F.col(n).try_cast("double").alias(n) for n in catalog.names])
+    return spark.read.schema(catalog.record_schema()).format(fmt).load(path)
 
 
 def records_from_json(df: DataFrame, json_col: str, schema: T.StructType,

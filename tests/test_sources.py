@@ -70,3 +70,24 @@ def test_binned_auc_option_close_to_exact(spark):
     binned = train_job(spark, table, TrainConfig(CAT, lr_only, bucket_col="split_bucket", auc_bins=1000)).board_rows[0]
     assert abs(exact["auc_roc"] - binned["auc_roc"]) <= 0.002
     assert exact["accuracy"] == binned["accuracy"]
+
+
+def test_csv_binds_columns_by_name_not_position(spark, tmp_dir):
+    src = fx.risk_rows_table(spark, SF_SMALL).select("row_key", *CAT.names, "label")
+    shuffled = ["label", *reversed(CAT.names), "row_key"]
+    src.select(*shuffled).write.option("header", "true").csv(f"{tmp_dir}/t")
+    df = scan_training(spark, f"{tmp_dir}/t", CAT, "csv")
+    assert df.columns == ["row_key", *CAT.names, "label"]
+    for c in ("qty", "price", "label"):
+        assert df.agg(F.sum(c)).first()[0] == pytest.approx(src.agg(F.sum(c)).first()[0])
+    recs = read_records(spark, f"{tmp_dir}/t", CAT, "csv")
+    assert recs.agg(F.sum("discount_pct")).first()[0] == src.agg(F.sum("discount_pct")).first()[0]
+
+
+def test_csv_unparseable_number_becomes_null(spark, tmp_dir):
+    src = fx.risk_rows_table(spark, SF_SMALL).select("row_key", *CAT.names, "label").limit(10)
+    bad = src.withColumn("qty", F.when(F.col("line_no") == 1, F.lit("n/a")).otherwise(F.col("qty").cast("string")))
+    bad.write.option("header", "true").csv(f"{tmp_dir}/b")
+    df = scan_training(spark, f"{tmp_dir}/b", CAT, "csv")
+    assert df.count() == 10
+    assert df.filter(F.col("qty").isNull()).count() == bad.filter(F.col("qty") == "n/a").count()
