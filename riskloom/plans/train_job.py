@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import FeatureCatalog
 from riskloom.functions.local import local_frame
-from riskloom.errors import EmptyInput, SingleClassLabel
+from riskloom.errors import CatalogMismatch, EmptyInput, SingleClassLabel
 from riskloom.operators import evaluate as ev
 from riskloom.operators.explain import coefficients, feature_importances, tree_stats
 from riskloom.operators.features import SCALED, assembler, fit_scaler
@@ -70,7 +70,7 @@ class RunResult:
 
 
 def _split_counts(df: DataFrame, catalog: FeatureCatalog, label: str) -> dict:
-    """Input, invalid, train, test and train-positive counts in one aggregate."""
+    """Input, invalid, train, test, train-positive and non-binary-label counts in one aggregate."""
     bad = any_invalid(df, catalog.names)
     train = (~bad) & (F.col("part") == "train")
     row = df.agg(
@@ -79,6 +79,7 @@ def _split_counts(df: DataFrame, catalog: FeatureCatalog, label: str) -> dict:
         F.count(F.when(train, 1)).alias("train_rows"),
         F.count(F.when((~bad) & (F.col("part") == "test"), 1)).alias("test_rows"),
         F.count(F.when(train & (F.col(label) == 1), 1)).alias("train_pos"),
+        F.count(F.when(~F.col(label).isin(0, 1) | F.col(label).isNull(), 1)).alias("bad_labels"),
     ).first()
     return row.asDict()
 
@@ -91,6 +92,8 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
 
     split = hash_split(table, keys, config.train_percent, bucket_col=config.bucket_col)
     counts = _split_counts(split, cat, label)
+    if counts["bad_labels"]:
+        raise CatalogMismatch(f"label {label!r} must be 0 or 1; {counts['bad_labels']} rows are not")
     if counts["train_rows"] == 0:
         raise EmptyInput("no training rows after validation and split")
     if counts["train_pos"] in (0, counts["train_rows"]):

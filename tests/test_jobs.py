@@ -141,3 +141,9 @@ def test_stream_query_repeatable(spark):
     first = E.queries()["score_stream"](spark, SF_SMALL).count()
     again = E.queries()["score_stream"](spark, SF_SMALL)
     assert again.count() == first == again.select("row_key").distinct().count()
+
+
+def test_non_binary_label_refused(spark):
+    table = risk_rows_table(spark, SF_SMALL).withColumn("label", F.when(F.col("qty") == 50, 2).otherwise(F.col("label")))
+    with pytest.raises(CatalogMismatch, match="0 or 1"):
+        train_job(spark, table, risk_config("Logistic Regression"))
