@@ -12,7 +12,6 @@ setting gets a private temporary folder (the test situation).
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -71,11 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared checkpoint folder (no I/O is done here)."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "riskloom", *parts)
+    """A path (URI) below the shared checkpoint folder; only Spark reads and writes it."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return "/".join([root, "riskloom", *parts])
 
 
 def stable_token(*values: object) -> str:
