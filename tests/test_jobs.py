@@ -147,3 +147,15 @@ def test_non_binary_label_refused(spark):
     table = risk_rows_table(spark, SF_SMALL).withColumn("label", F.when(F.col("qty") == 50, 2).otherwise(F.col("label")))
     with pytest.raises(CatalogMismatch, match="0 or 1"):
         train_job(spark, table, risk_config("Logistic Regression"))
+
+
+def test_probabilities_sum_to_one_and_repartition_invariant(spark, run):
+    from pyspark.ml.functions import vector_to_array
+
+    test = risk_rows_table(spark, SF_SMALL).filter("split_bucket >= 80")
+    probs = run.pipeline.transform(test).select(vector_to_array("probability").alias("p"))
+    off = probs.filter(F.abs(F.col("p")[0] + F.col("p")[1] - 1.0) > 1e-12).count()
+    assert off == 0
+    a, _ = score_job(spark, test.repartition(1), run.pipeline, CAT)
+    b, _ = score_job(spark, test.repartition(5, "row_key"), run.pipeline, CAT)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
