@@ -16,13 +16,15 @@ from riskloom.functions.local import local_frame
 
 
 def split_counts(df: DataFrame, part_col: str = "part", label_col: str | None = None) -> DataFrame:
-    """Rows (and positives) per split part plus an ``all`` row, from one aggregation."""
+    """Rows (and positives) per split part plus an ``all`` row: one ``rollup`` aggregation."""
+    cols = [F.col(part_col).alias("part")]
     aggs = [F.count(F.lit(1)).alias("rows")]
     if label_col:
-        aggs.append(F.sum(F.col(label_col).cast("long")).alias("positives"))
-    by_part = df.groupBy(F.col(part_col).alias("part")).agg(*aggs)
-    total = by_part.agg(*[F.sum(c).alias(c) for c in by_part.columns if c != "part"])
-    return by_part.unionByName(total.withColumn("part", F.lit("all")))
+        cols.append(F.col(label_col).cast("long").alias("_label"))
+        aggs.append(F.sum("_label").alias("positives"))
+    rolled = df.select(*cols).rollup("part").agg(*aggs, F.grouping("part").alias("_total"))
+    return rolled.select(F.when(F.col("_total") == 1, F.lit("all")).otherwise(F.col("part")).alias("part"),
+                         *[a for a in ("rows", "positives") if a in rolled.columns])
 
 
 def schema_report(spark: SparkSession, df: DataFrame, with_counts: bool = False) -> DataFrame:
