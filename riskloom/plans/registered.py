@@ -618,10 +618,16 @@ SELECT model, ordinal, auc_roc FROM board ORDER BY round(auc_roc, 4) DESC, ordin
 
 # ----------------------------------------------------------------------------- explanation
 def _correlations(spark, sf) -> DataFrame:
+    """|Pearson r| of each feature with the label on the training part, in long form.
+
+    Unpivoted in the scan and grouped by feature (21 keys), which keeps the aggregation
+    in whole-stage codegen (21 correlations in one row would exceed its field limit).
+    """
     df = _train(_rr(spark, sf))
-    wide = df.agg(*[F.abs(F.corr(F.col(c).cast("double"), F.col("label").cast("double"))).alias(c) for c in FEATS])
-    args = ", ".join(f"'{c}', round({c}, 6)" for c in FEATS)
-    return wide.selectExpr(f"stack({len(FEATS)}, {args}) AS (feature, importance)").na.fill(0.0)
+    items = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in FEATS]
+    long = df.select(F.col("label").cast("double").alias("y"), F.explode(F.array(*items)).alias("s"))
+    corr = long.groupBy(F.col("s.feature").alias("feature")).agg(F.corr("s.x", "y").alias("r"))
+    return corr.select("feature", F.coalesce(F.round(F.abs("r"), 6), F.lit(0.0)).alias("importance"))
 
 
 _SQL_CORR = RISK + ", corr_long AS (" + " UNION ALL ".join(
