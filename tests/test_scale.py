@@ -52,3 +52,17 @@ def test_zip_refuses_duplicate_keys(spark):
         zip_features_target(feats, targets, ["k"])
     ok = zip_features_target(feats.dropDuplicates(["k"]), targets, ["k"])
     assert ok.count() == 2
+
+
+def test_partition_and_range_sizing(spark):
+    from riskloom.operators.evaluate import MAX_RANGES, ranges_for
+    from riskloom.operators.partitioning import target_partitions
+
+    df = spark.range(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert target_partitions(df, 1) == 1                        # tiny data: one task
+    assert target_partitions(df, 48_000) == min(2 * cores, 5)   # ~10k rows per task
+    assert target_partitions(df, 480_000) == min(2 * cores, 48)
+    assert target_partitions(df, 10**11) == 100_000             # at scale: ~1M rows per task
+    assert ranges_for(0) == 1 and ranges_for(999_999) == 1 and ranges_for(1_000_001) == 2
+    assert ranges_for(10**12) == MAX_RANGES
