@@ -6,8 +6,9 @@ unpartitioned sort:
 
 1. group by distinct score → (pos, neg) per score (partial aggregation map-side; a hot
    score value collapses to one row, so skew in scores cannot overload a task);
-2. cut the distinct scores into ranges at approximate quantiles (only a balancing aid:
-   any boundaries give the same exact answer);
+2. cut the distinct scores into ranges at approximate quantiles — per group through
+   Spark's range partitioner on (group, score) — (only a balancing aid: any ranges that
+   follow the score order give the same exact answer);
 3. running negative count inside each range (window partitioned by range), reduced to
    per-range totals; the negatives of all lower ranges are a prefix over those totals
    (≤ ``num_ranges`` rows per group);
@@ -88,23 +89,29 @@ def range_boundaries(counts: DataFrame, num_ranges: int = DEFAULT_RANGES) -> lis
 
 def auc_from_counts(counts: DataFrame, boundaries: Sequence[float],
                     group_cols: Sequence[str] = ()) -> DataFrame:
-    """Exact AUC per group from (score, pos, neg) rows and range boundaries.
-
-    Per range r: P_r = Σ pos, N_r = Σ neg, L_r = Σ pos·(neg below within r + neg tied / 2).
-    Then U = Σ_r (L_r + P_r · Σ_{r' < r} N_r'): the cross-range term is a prefix over the
-    per-range totals (at most ``len(boundaries) + 2`` rows per group), so no row-level
-    join or second pass over the scores is needed.
-    """
+    """Exact AUC per group from (score, pos, neg) rows and global range boundaries."""
     inner = [b for b in boundaries if b not in (float("-inf"), float("inf"))]
     if inner:
         bucketed = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol="score",
                               outputCol="range_id", handleInvalid="keep").transform(counts)
     else:
         bucketed = counts.withColumn("range_id", F.lit(0.0))
+    return _auc_over_ranges(bucketed, group_cols)
+
+
+def _auc_over_ranges(ranged: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Exact AUC from (group, score, pos, neg, range_id) rows.
+
+    ``range_id`` must increase with the score inside each group.  Per range r:
+    P_r = Σ pos, N_r = Σ neg, L_r = Σ pos·(neg below within r + neg tied / 2).  Then
+    U = Σ_r (L_r + P_r · Σ_{r' < r} N_r'): the cross-range term is a prefix over the
+    per-range totals (a few rows per group), so no row-level join or second pass over
+    the scores is needed.
+    """
     within = (Window.partitionBy(*group_cols, "range_id").orderBy("score")
               .rowsBetween(Window.unboundedPreceding, -1))
     pos = F.col("pos").cast("double")
-    local = bucketed.withColumn("neg_before", F.coalesce(F.sum("neg").over(within), F.lit(0)))
+    local = ranged.withColumn("neg_before", F.coalesce(F.sum("neg").over(within), F.lit(0)))
     ranges = local.groupBy(*group_cols, "range_id").agg(
         F.sum("pos").alias("p_r"),
         F.sum("neg").alias("n_r"),
@@ -128,10 +135,28 @@ def auc_from_counts(counts: DataFrame, boundaries: Sequence[float],
     )
 
 
+def _ranges_per_group(counts: DataFrame, group_cols: Sequence[str], num_ranges: int) -> DataFrame:
+    """Range ids from Spark's range partitioner on (group, score).
+
+    The partitioner samples (group, score) keys, so every group gets ranges in
+    proportion to its number of distinct scores, whatever its score scale; partition
+    ids follow (group, score) order, which is all the prefix step needs.  Adjacent
+    partitions merged by AQE keep that order.
+    """
+    return (counts.repartitionByRange(num_ranges, *group_cols, "score")
+            .withColumn("range_id", F.spark_partition_id().cast("double")))
+
+
 def auc_exact(df: DataFrame, score_col: str, label_col: str, group_cols: Sequence[str] = (),
               num_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """Exact area under ROC per group; null (and ``single_class``) when a class is absent."""
+    """Exact area under ROC per group; null (and ``single_class``) when a class is absent.
+
+    One group: ranges cut at approximate quantiles of the distinct scores.  Several
+    groups: ranges from range-partitioning (group, score), balanced within each group.
+    """
     counts = score_label_counts(df, score_col, label_col, group_cols)
+    if group_cols:
+        return _auc_over_ranges(_ranges_per_group(counts, group_cols, num_ranges), group_cols)
     return auc_from_counts(counts, range_boundaries(counts, num_ranges), group_cols)
 
 

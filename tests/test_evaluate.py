@@ -96,3 +96,18 @@ def test_all_negative_predictor_weighted_f1_closed_form(spark):
     assert m["accuracy"] == pytest.approx(p)
     assert m["weighted_f1"] == pytest.approx(2 * p * p / (1 + p))
     assert m["predicted_positive"] == 0
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 5), st.integers(0, 1)), min_size=3, max_size=40),
+       st.integers(1, 6))
+def test_grouped_auc_property(spark, rows, num_ranges):
+    df = spark.createDataFrame([(g, float(s) * (1000.0 if g == "c" else 1.0), y) for g, s, y in rows],
+                               "g string, score double, label int")
+    got = {r["g"]: r["auc"] for r in ev.auc_exact(df, "score", "label", ["g"], num_ranges=num_ranges).collect()}
+    for g in {g for g, _, _ in rows}:
+        expect = _brute_auc([(s, y) for gg, s, y in rows if gg == g])
+        if expect is None:
+            assert got[g] is None
+        else:
+            assert got[g] == pytest.approx(expect, abs=1e-12)
