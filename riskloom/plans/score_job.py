@@ -1,13 +1,22 @@
-"""Batch scoring job: table (or records folder) + saved pipeline → scored rows + rejects."""
+"""Batch scoring job: table (or records folder) + saved pipeline → scored rows + rejects.
+
+    python -m riskloom.plans.score_job --input /shared/new/ --format json \
+        --model /shared/model/best_model --output /shared/scored --catalog cdc
+"""
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.catalog import FeatureCatalog
+from riskloom.catalog import CDC_CATALOG, DOC_QUALITY_CATALOG, RISK_ROWS_CATALOG, FeatureCatalog
 from riskloom.operators.score import score_with_rejects
 from riskloom.sources.registry import load_pipeline
+from riskloom.sources.tables import read_records
+
+CATALOGS = {"cdc": CDC_CATALOG, "risk_rows": RISK_ROWS_CATALOG, "doc_quality": DOC_QUALITY_CATALOG}
 
 
 def score_job(spark: SparkSession, table: DataFrame, model: PipelineModel | str,
@@ -19,3 +28,23 @@ def score_job(spark: SparkSession, table: DataFrame, model: PipelineModel | str,
     catalog.check(table)
     pipeline = load_pipeline(model, catalog) if isinstance(model, str) else model
     return score_with_rejects(table, pipeline, catalog)
+
+
+def main(argv: list[str] | None = None) -> None:
+    ap = argparse.ArgumentParser(description="Score a folder of records with a saved pipeline.")
+    ap.add_argument("--input", required=True)
+    ap.add_argument("--format", default="json", choices=["json", "csv", "parquet"])
+    ap.add_argument("--model", required=True)
+    ap.add_argument("--output", required=True)
+    ap.add_argument("--catalog", default="cdc", choices=sorted(CATALOGS))
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("riskloom-score-job").getOrCreate()
+    catalog = CATALOGS[args.catalog]
+    records = read_records(spark, args.input, catalog, args.format)
+    scored, rejects = score_job(spark, records, args.model, catalog)
+    scored.write.mode("overwrite").parquet(f"{args.output}/scored")
+    rejects.write.mode("overwrite").parquet(f"{args.output}/rejects")
+
+
+if __name__ == "__main__":
+    main()

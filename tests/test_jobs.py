@@ -159,3 +159,18 @@ def test_probabilities_sum_to_one_and_repartition_invariant(spark, run):
     a, _ = score_job(spark, test.repartition(1), run.pipeline, CAT)
     b, _ = score_job(spark, test.repartition(5, "row_key"), run.pipeline, CAT)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_score_job_command(spark, run, tmp_dir):
+    from riskloom.plans.score_job import main
+
+    registry.save_pipeline(run.pipeline, f"{tmp_dir}/model")
+    recs = risk_rows_table(spark, SF_SMALL).filter("split_bucket >= 80").select(
+        "row_key", *[F.col(c).cast("double").alias(c) for c in CAT.names])
+    recs = recs.withColumn("qty", F.when(F.col("qty") != 50, F.col("qty")))
+    recs.write.json(f"{tmp_dir}/recs")
+    main(["--input", f"{tmp_dir}/recs", "--model", f"{tmp_dir}/model", "--output", f"{tmp_dir}/out",
+          "--catalog", "risk_rows"])
+    scored = spark.read.parquet(f"{tmp_dir}/out/scored").count()
+    rejected = spark.read.parquet(f"{tmp_dir}/out/rejects").count()
+    assert scored + rejected == recs.count() and rejected > 0
