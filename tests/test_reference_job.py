@@ -71,3 +71,13 @@ def test_reference_catalog_rules_apply(spark, cdc_path):
     assert prof == {"BMI", "HighBP", "HighChol", "Smoker", "GenHlth", "Age", "Sedentary", "HeartDisease"}
     stats, labels = reference_profile(table)
     assert stats.count() == 21 and labels.agg(F.sum("rows")).first()[0] == 6000
+
+
+def test_reference_job_command_with_parity_flags(spark, cdc_path, tmp_dir, capsys):
+    from riskloom.plans.reference_job import main
+
+    main(["--input", cdc_path, "--model-dir", f"{tmp_dir}/m", "--scaler-scope", "all", "--auc-bins", "1000"])
+    report = json.loads(capsys.readouterr().out)
+    assert report["feature_columns"] == CDC_CATALOG.names
+    assert report["dataset_info"]["total_rows"] == 6000
+    assert load_pipeline(f"{tmp_dir}/m/best_model", CDC_CATALOG) is not None
