@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.session import scratch_path
 
@@ -58,6 +59,11 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(id_col.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
+def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
+    """The schema with the fields of a DDL string behind its own."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -7,15 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.common import read_table
+from riskloom.llm.decontamination import find_contamination
 from riskloom.llm.exact_dedup import tree_merge_dedup
+from riskloom.llm.language_id import identify_languages
 from riskloom.llm.mixing import mix_sources
+from riskloom.llm.quality import classify_quality
 from riskloom.llm.sharding import sampled_splitter_shards
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampled_splitter_shards(read_table(spark, sf_dir, "documents"), n_shards=16)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_merge_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -24,13 +36,38 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
+    "op6_quality": op6_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL = {
+    "op2_decontamination": r"""
+        with t as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+        b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+        bw as (select distinct item_id, least(10, len(w)) as k, w[i:i + least(10, len(w)) - 1] as words
+               from (select *, unnest(generate_series(1, greatest(1, len(w) - 9))) as i from b where len(w) > 0)),
+        dw as (select doc_id, k, i, w[i:i + k - 1] as words
+               from (select doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) as i
+                     from t, (select distinct k from bw) where len(w) >= k)),
+        m as (select dw.doc_id, dw.k, dw.i, bw.item_id from dw join bw using (k, words)),
+        h as (select doc_id, count(distinct i + j) as n_hit
+              from (select distinct doc_id, k, i, unnest(generate_series(0, k - 1)) as j from m) group by doc_id),
+        n as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+              from (select distinct doc_id, item_id::varchar as item from m) group by doc_id)
+        select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from t left join h using (doc_id) left join n using (doc_id)""",
     "op8_exact_dedup": r"""
         with d as (select doc_id, length(coalesce(text, '')) as n_points,
                           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256
