@@ -11,6 +11,7 @@ from riskloom.llm.decontamination import find_contamination
 from riskloom.llm.exact_dedup import tree_merge_dedup
 from riskloom.llm.language_id import identify_languages
 from riskloom.llm.mixing import mix_sources
+from riskloom.llm.ngram_join import ngram_jaccard_components
 from riskloom.llm.quality import classify_quality
 from riskloom.llm.sharding import sampled_splitter_shards
 
@@ -24,6 +25,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampled_splitter_shards(read_table(spark, sf_dir, "documents"), n_shards=16)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -43,6 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
+    "op5_ngram_join": op5_ngram_join,
     "op6_quality": op6_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
