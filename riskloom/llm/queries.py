@@ -12,6 +12,7 @@ from riskloom.llm.exact_dedup import tree_merge_dedup
 from riskloom.llm.language_id import identify_languages
 from riskloom.llm.mixing import mix_sources
 from riskloom.llm.ngram_join import ngram_jaccard_components
+from riskloom.llm.pii import find_personal_data
 from riskloom.llm.quality import classify_quality
 from riskloom.llm.sharding import sampled_splitter_shards
 
@@ -33,6 +34,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_merge_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op5_ngram_join": op5_ngram_join,
     "op6_quality": op6_quality,
+    "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
