@@ -14,9 +14,14 @@ from riskloom.llm.mixing import mix_sources
 from riskloom.llm.ngram_join import ngram_jaccard_components
 from riskloom.llm.pii import find_personal_data
 from riskloom.llm.quality import classify_quality
+from riskloom.llm.quotes import link_quotations
 from riskloom.llm.sharding import sampled_splitter_shards
 
 
+def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotations(read_table(spark, sf_dir, "conversations"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -51,6 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quotes": op1_quotes,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op5_ngram_join": op5_ngram_join,
@@ -62,6 +68,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL = {
+    "op1_quotes": r"""
+        with recursive m as (select conv_id, turn, role, coalesce(text, '') as text,
+                          string_split(replace(coalesce(text, ''), chr(13), ''), chr(10)) as lines from conversations),
+        l as (select conv_id, turn, line, len(regexp_replace(regexp_extract(line, '^[\x20\t]*>[>\x20\t]*'), '[^>]', '', 'g')) as level,
+                     trim(regexp_replace(translate(regexp_replace(line, '^[\x20\t]*>[>\x20\t]*', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) as normal
+              from (select conv_id, turn, unnest(lines) as line from m)),
+        o as (select conv_id, normal, min(turn) as origin from l where level = 0 and normal <> '' group by conv_id, normal),
+        q as (select l.conv_id, l.turn, l.level, o.origin, count(*) as n from l join o using (conv_id, normal)
+              where l.level > 0 and o.origin < l.turn group by all),
+        p as (select conv_id, turn, arg_min(origin, (level, -n, -origin)) as parent, sum(n) as n_linked from q group by conv_id, turn),
+        r as (select conv_id, turn, parent as root, 1 as steps from p
+              union all select r.conv_id, r.turn, p.parent, steps + 1 from r join p on p.conv_id = r.conv_id and p.turn = r.root),
+        t as (select conv_id, turn, arg_max(root, steps) as root, max(steps) as steps from r group by conv_id, turn)
+        select m.conv_id, m.turn, role,
+               trim(array_to_string([x for x in lines if not regexp_matches(x, '^[\x20\t]*>')], chr(10)), chr(10)) as own_text,
+               coalesce(c.quote_depth, 0)::int as quote_depth, coalesce(c.n_quoted, 0) as n_quoted,
+               coalesce(p.n_linked, 0)::bigint as n_linked, p.parent as parent_turn, coalesce(t.root, m.turn) as root_turn,
+               coalesce(t.steps, 0)::bigint as thread_depth,
+               row_number() over (partition by m.conv_id order by coalesce(t.root, m.turn), m.turn, role) - 1 as position
+        from m left join p on p.conv_id = m.conv_id and p.turn = m.turn left join t on t.conv_id = m.conv_id and t.turn = m.turn
+        left join (select conv_id, turn, max(level) as quote_depth, count(*) filter (level > 0 and normal <> '') as n_quoted
+                   from l group by conv_id, turn) c on c.conv_id = m.conv_id and c.turn = m.turn""",
     "op2_decontamination": r"""
         with t as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
