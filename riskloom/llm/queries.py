@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.llm.common import read_table
 from riskloom.llm.decontamination import find_contamination
 from riskloom.llm.exact_dedup import tree_merge_dedup
 from riskloom.llm.language_id import identify_languages
+from riskloom.llm.line_dedup import dedup_lines
 from riskloom.llm.mixing import mix_sources
 from riskloom.llm.ngram_join import ngram_jaccard_components
 from riskloom.llm.pii import find_personal_data
@@ -31,6 +33,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampled_splitter_shards(read_table(spark, sf_dir, "documents"), n_shards=16)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(read_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -59,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quotes": op1_quotes,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
+    "op4_line_dedup": op4_line_dedup,
     "op5_ngram_join": op5_ngram_join,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
