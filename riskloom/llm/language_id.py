@@ -216,6 +216,12 @@ def score_languages(docs: DataFrame, model: PieceModel, vocabulary: Sequence[byt
     return docs.mapInArrow(score, schema)
 
 
+def _fitted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, vocab: Sequence[bytes]) -> PieceModel:
+    train = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    return fit_pieces(train, vocab, Scratch(docs.sparkSession, "language-id"))
+
+
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                        vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per input row: id, held_out, lang_pred, score.
@@ -225,13 +231,19 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     there is nothing to learn from; an empty table gives no rows.  Ties go to the language
     first in order.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "language-id")
     vocab = read_vocabulary(vocabulary)
-    out = held_out(F.col(id_col))
-    train = docs.filter(~out & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    model = fit_pieces(train, vocab, scratch)
-    scored = score_languages(docs.select(F.col(id_col).alias("id"), out.alias("held_out"), F.col(text_col).alias("text")),
-                             model, vocab)
+    model = _fitted(docs, id_col, text_col, lang_col, vocab)
+    rows = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
+    scored = score_languages(rows, model, vocab)
     return scored.select(F.col("id").alias(id_col), "held_out", "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, least: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    vocabulary: str = VOCABULARY) -> DataFrame:
+    """The rows of ``docs``, all columns, with a predicted language whose score is at least ``least``."""
+    vocab = read_vocabulary(vocabulary)
+    model = _fitted(docs, id_col, text_col, lang_col, vocab)
+    names = [f"column {i}" for i in range(len(docs.columns))]
+    scored = score_languages(docs.toDF(*names), model, vocab, names[docs.columns.index(text_col)])
+    kept = scored.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return kept.select(*names).toDF(*docs.columns)

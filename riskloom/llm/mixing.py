@@ -57,16 +57,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     return table.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                weights: Sequence[float] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """One row per input row: id, size, source_size, target, taken.
-
-    ``taken`` counts the words that the mix takes of the document: whole passes over its
-    source, and one more if its hash lies below the source's threshold.  Null texts have size
-    0; documents of size 0 are never taken; null is a source of its own; rows with the same
-    hash (repeated rows) are taken together; an empty table gives no rows.  The hash depends
-    on id and text only, so reruns agree on any cluster.
-    """
+def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[float], share: float,
+             most: float) -> tuple[DataFrame, DataFrame]:
+    """Slim rows (id, source, size, h), and by source: of, source_size, target, full passes, rest, threshold."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     rows = scratch.table(docs.select(
@@ -105,7 +98,38 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     limits = found.select(F.col("source").alias("s"), (F.col("prefix") + F.when(within, 1).otherwise(0)).alias("threshold"))
     plan = targets.join(limits, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     plan = scratch.table(plan.withColumnRenamed("source", "of"), "plan")
-    out = rows.join(plan, F.col("source").eqNullSafe(F.col("of")))
+    return rows, plan
+
+
+def _passes() -> Column:
+    """How often the mix takes a row of documents joined to its source's plan."""
     extra = F.when((F.col("rest") > 0) & (F.col("h") < F.col("threshold")), 1).otherwise(0)
+    return F.when(F.col("size") > 0, F.col("full") + extra).otherwise(0)
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                weights: Sequence[float] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """One row per input row: id, size, source_size, target, taken.
+
+    ``taken`` counts the words that the mix takes of the document: whole passes over its
+    source, and one more if its hash lies below the source's threshold.  Null texts have size
+    0; documents of size 0 are never taken; null is a source of its own; rows with the same
+    hash (repeated rows) are taken together; an empty table gives no rows.  The hash depends
+    on id and text only, so reruns agree on any cluster.
+    """
+    rows, plan = _planned(docs, id_col, text_col, source_col, weights, share, most)
+    out = rows.join(plan, F.col("source").eqNullSafe(F.col("of")))
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target",
-                      (F.col("size") * (F.col("full") + extra)).cast("bigint").alias("taken"))
+                      (F.col("size") * _passes()).cast("bigint").alias("taken"))
+
+
+def materialise_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    weights: Sequence[float] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The mix itself: rows of ``docs``, all columns, once for every pass that takes them."""
+    _, plan = _planned(docs, id_col, text_col, source_col, weights, share, most)
+    names = [f"column {i}" for i in range(len(docs.columns))]
+    of, text, source = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col, source_col))
+    rows = docs.toDF(*names).withColumns({"size": count_words(text), "h": mix_hash(of, text)})
+    rows = rows.join(plan, source.cast("string").eqNullSafe(F.col("of"))).withColumn("passes", _passes().cast("int"))
+    rows = rows.filter("passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("passes"))))
+    return rows.select(*names).toDF(*docs.columns)
