@@ -1,18 +1,15 @@
 """Evaluation: confusion counts, accuracy, weighted F1, exact AUC.
 
-One confusion aggregate feeds accuracy, weighted F1, positive-class F1, recall and the
-predicted-positive count.  AUC is exact (tie-aware Mann-Whitney), computed without an
-unpartitioned sort:
-
-1. group by distinct score → (pos, neg) per score (partial aggregation map-side; a hot
-   score value collapses to one row, so skew in scores cannot overload a task);
-2. cut the distinct scores into ranges at approximate quantiles — per group through
-   Spark's range partitioner on (group, score) — (only a balancing aid: any ranges that
-   follow the score order give the same exact answer);
-3. running negative count inside each range (window partitioned by range), reduced to
-   per-range totals; the negatives of all lower ranges are a prefix over those totals
-   (≤ ``num_ranges`` rows per group);
-4. AUC = Σ pos·(neg_below + neg_tied/2) / (P·N).
+Scored rows are reduced once to cells - positives and negatives per (score, prediction),
+partially aggregated map-side, so a hot score collapses to one row - and every metric is
+read from the cells.  AUC is exact (tie-aware Mann-Whitney), without an unpartitioned sort:
+
+1. Spark's range partitioner on (group, score) deals the distinct scores into
+   ``spark.sql.shuffle.partitions`` ranges, balanced within each group; any ranges that
+   follow the score order give the same exact answer;
+2. running negative count inside each range (window partitioned by range), reduced to
+   per-range totals; the negatives of all lower ranges are a prefix over those totals;
+3. AUC = Σ pos·(neg_below + neg_tied/2) / (P·N).
 """
 
 from __future__ import annotations
@@ -20,12 +17,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_RANGES = 256
-
 
 def confusion_counts(df: DataFrame, label_col: str, prediction_col: str,
                      group_cols: Sequence[str] = ()) -> DataFrame:
@@ -36,39 +30,59 @@ def confusion_counts(df: DataFrame, label_col: str, prediction_col: str,
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
-def metrics_from_confusion(conf: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """accuracy, support-weighted F1 (both classes), positive F1, recall, predicted positives."""
-    def total(cond=None):
-        return F.coalesce(F.sum(F.when(cond, F.col("rows")) if cond is not None else F.col("rows")),
-                          F.lit(0)).cast("double")
-
-    lab, pred = F.col("label"), F.col("prediction")
-    agg = conf.groupBy(*group_cols).agg(
-        total().alias("n"),
-        total(lab == pred).alias("correct"),
-        total((lab == 1) & (pred == 1)).alias("tp1"),
-        total((lab == 0) & (pred == 0)).alias("tp0"),
-        total(lab == 1).alias("sup1"),
-        total(lab == 0).alias("sup0"),
-        total(pred == 1).alias("pp1"),
-        total(pred == 0).alias("pp0"),
-    )
-
+def _metrics(totals: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Metrics from n, correct, tp1, tp0, sup1, sup0, pp1, pp0; without rows every ratio is null."""
     def f1(tp, sup, pp):
         return F.when(F.col(sup) + F.col(pp) > 0, F.lit(2.0) * F.col(tp) / (F.col(sup) + F.col(pp))).otherwise(0.0)
 
-    return agg.select(
+    some = F.col("n") > 0
+    return totals.select(
         *group_cols,
         F.col("n").cast("long").alias("n"),
-        (F.col("correct") / F.col("n")).alias("accuracy"),
-        ((F.col("sup0") * f1("tp0", "sup0", "pp0") + F.col("sup1") * f1("tp1", "sup1", "pp1"))
-         / F.col("n")).alias("weighted_f1"),
-        f1("tp1", "sup1", "pp1").alias("positive_f1"),
+        F.when(some, F.col("correct") / F.col("n")).alias("accuracy"),
+        F.when(some, (F.col("sup0") * f1("tp0", "sup0", "pp0") + F.col("sup1") * f1("tp1", "sup1", "pp1"))
+               / F.col("n")).alias("weighted_f1"),
+        F.when(some, f1("tp1", "sup1", "pp1")).alias("positive_f1"),
         F.when(F.col("sup1") > 0, F.col("tp1") / F.col("sup1")).alias("recall"),
         F.col("pp1").cast("long").alias("predicted_positive"),
     )
 
 
+def _total(rows, cond=None):
+    return F.coalesce(F.sum(F.when(cond, rows) if cond is not None else rows), F.lit(0)).cast("double")
+
+
+def metrics_from_confusion(conf: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """accuracy, support-weighted F1 (both classes), positive F1, recall, predicted positives."""
+    lab, pred, rows = F.col("label"), F.col("prediction"), F.col("rows")
+    totals = conf.groupBy(*group_cols).agg(
+        _total(rows).alias("n"), _total(rows, lab == pred).alias("correct"),
+        _total(rows, (lab == 1) & (pred == 1)).alias("tp1"), _total(rows, (lab == 0) & (pred == 0)).alias("tp0"),
+        _total(rows, lab == 1).alias("sup1"), _total(rows, lab == 0).alias("sup0"),
+        _total(rows, pred == 1).alias("pp1"), _total(rows, pred == 0).alias("pp0"))
+    return _metrics(totals, group_cols)
+
+
+def score_cells(df: DataFrame, label_col: str, score_col: str, prediction_col: str,
+                group_cols: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per (group, score, prediction): the one pass over scored rows."""
+    lab = F.col(label_col)
+    return (df.filter(lab.isNotNull() & F.col(score_col).isNotNull())
+            .groupBy(*group_cols, F.col(score_col).cast("double").alias("score"),
+                     F.col(prediction_col).cast("int").alias("prediction"))
+            .agg(F.count(F.when(lab == 1, 1)).alias("pos"), F.count(F.when(lab != 1, 1)).alias("neg")))
+
+
+def metrics_from_cells(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The same metrics from (score, prediction, pos, neg) cells."""
+    pos, neg, hit = F.col("pos"), F.col("neg"), F.col("prediction") == 1
+    totals = cells.groupBy(*group_cols).agg(
+        _total(pos + neg).alias("n"), _total(F.when(hit, pos).otherwise(neg)).alias("correct"),
+        _total(pos, hit).alias("tp1"), _total(neg, ~hit).alias("tp0"), _total(pos).alias("sup1"), _total(neg).alias("sup0"),
+        _total(pos + neg, hit).alias("pp1"), _total(pos + neg, ~hit).alias("pp0"))
+    return _metrics(totals, group_cols)
+
+
 def score_label_counts(df: DataFrame, score_col: str, label_col: str,
                        group_cols: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score."""
@@ -78,25 +92,17 @@ def score_label_counts(df: DataFrame, score_col: str, label_col: str,
             .agg(F.count(F.when(lab == 1, 1)).alias("pos"), F.count(F.when(lab != 1, 1)).alias("neg")))
 
 
-def range_boundaries(counts: DataFrame, num_ranges: int = DEFAULT_RANGES) -> list[float]:
-    """Approximate quantiles of the distinct scores (≤ num_ranges - 1 values to the driver)."""
-    if num_ranges <= 1:
-        return []
-    probs = [i / num_ranges for i in range(1, num_ranges)]
-    qs = counts.approxQuantile("score", probs, 1.0 / (4 * num_ranges))
-    return sorted({float(q) for q in qs})
-
+def auc_from_counts(counts: DataFrame, group_cols: Sequence[str] = (), num_ranges: int | None = None) -> DataFrame:
+    """Exact AUC per group from (score, pos, neg) rows.
 
-def auc_from_counts(counts: DataFrame, boundaries: Sequence[float],
-                    group_cols: Sequence[str] = ()) -> DataFrame:
-    """Exact AUC per group from (score, pos, neg) rows and global range boundaries."""
-    inner = [b for b in boundaries if b not in (float("-inf"), float("inf"))]
-    if inner:
-        bucketed = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol="score",
-                              outputCol="range_id", handleInvalid="keep").transform(counts)
-    else:
-        bucketed = counts.withColumn("range_id", F.lit(0.0))
-    return _auc_over_ranges(bucketed, group_cols)
+    Ranges come from Spark's range partitioner on (group, score), ``spark.sql.shuffle.partitions``
+    of them unless told otherwise, so every group gets ranges in proportion to its distinct scores;
+    partition ids follow (group, score) order, also where AQE merges neighbours, which is all the
+    prefix step needs.
+    """
+    n = num_ranges or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counts.repartitionByRange(n, *group_cols, "score").withColumn("range_id", F.spark_partition_id())
+    return _auc_over_ranges(ranged, group_cols)
 
 
 def _auc_over_ranges(ranged: DataFrame, group_cols: Sequence[str]) -> DataFrame:
@@ -135,66 +141,31 @@ def _auc_over_ranges(ranged: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     )
 
 
-def _ranges_per_group(counts: DataFrame, group_cols: Sequence[str], num_ranges: int) -> DataFrame:
-    """Range ids from Spark's range partitioner on (group, score).
-
-    The partitioner samples (group, score) keys, so every group gets ranges in
-    proportion to its number of distinct scores, whatever its score scale; partition
-    ids follow (group, score) order, which is all the prefix step needs.  Adjacent
-    partitions merged by AQE keep that order.
-    """
-    return (counts.repartitionByRange(num_ranges, *group_cols, "score")
-            .withColumn("range_id", F.spark_partition_id().cast("double")))
-
-
 def auc_exact(df: DataFrame, score_col: str, label_col: str, group_cols: Sequence[str] = (),
-              num_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """Exact area under ROC per group; null (and ``single_class``) when a class is absent.
-
-    One group: ranges cut at approximate quantiles of the distinct scores.  Several
-    groups: ranges from range-partitioning (group, score), balanced within each group.
-    """
-    counts = score_label_counts(df, score_col, label_col, group_cols)
-    if group_cols:
-        return _auc_over_ranges(_ranges_per_group(counts, group_cols, num_ranges), group_cols)
-    return auc_from_counts(counts, range_boundaries(counts, num_ranges), group_cols)
+              num_ranges: int | None = None) -> DataFrame:
+    """Exact area under ROC per group; null (and ``single_class``) when a class is absent."""
+    return auc_from_counts(score_label_counts(df, score_col, label_col, group_cols), group_cols, num_ranges)
 
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 65_536
+def evaluate_groups(df: DataFrame, label_col: str, score_col: str, prediction_col: str,
+                    group_cols: Sequence[str]) -> DataFrame:
+    """All metrics per group from one aggregation of the scored rows (its exchange is reused)."""
+    cells = score_cells(df, label_col, score_col, prediction_col, group_cols)
+    counts = cells.groupBy(*group_cols, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return metrics_from_cells(cells, group_cols).join(auc_from_counts(counts, group_cols), list(group_cols))
 
 
-def ranges_for(n_rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
-    """Enough score ranges that none holds more than ~rows_per_range distinct scores."""
-    return max(1, min(MAX_RANGES, -(-int(n_rows) // rows_per_range)))
+def evaluate_scores(df: DataFrame, label_col: str, score_col: str, prediction_col: str) -> dict:
+    """All metrics of one scored table as a dict (two one-row results reach the driver).
 
-
-def evaluate_scores(df: DataFrame, label_col: str, score_col: str, prediction_col: str,
-                    num_ranges: int | None = None) -> dict:
-    """All metrics of one scored table as a dict (two small result rows reach the driver).
-
-    One pass groups the scored rows by (score, prediction) into (pos, neg) counts and
-    caches that table; the confusion counts and the AUC input are both read from it.
-    The number of score ranges follows the row count (a single range, and no quantile
-    job, up to ``ROWS_PER_RANGE`` rows).
+    Without scored rows n is 0 and every ratio None.
     """
-    lab = F.col(label_col)
-    cells = (df.filter(lab.isNotNull() & F.col(score_col).isNotNull())
-             .groupBy(F.col(score_col).cast("double").alias("score"),
-                      F.col(prediction_col).cast("int").alias("prediction"))
-             .agg(F.count(F.when(lab == 1, 1)).alias("pos"), F.count(F.when(lab != 1, 1)).alias("neg"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    cells = score_cells(df, label_col, score_col, prediction_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        conf = (cells.select("prediction", F.lit(1).alias("label"), F.col("pos").alias("rows"))
-                .unionByName(cells.select("prediction", F.lit(0).alias("label"), F.col("neg").alias("rows"))))
-        m = metrics_from_confusion(conf).first()
-        n = 0 if m is None or m["n"] is None else m["n"]
-        k = num_ranges or ranges_for(n)
+        metrics = metrics_from_cells(cells).first().asDict()
         counts = cells.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        a = auc_from_counts(counts, range_boundaries(counts, k) if k > 1 else []).first()
+        auc = auc_from_counts(counts).first()
     finally:
         cells.unpersist()
-    out = m.asDict() if m is not None and m["n"] else {}
-    out.update({"auc": None if a is None else a["auc"],
-                "single_class": True if a is None else bool(a["single_class"])})
-    return out
+    return metrics | {"auc": auc["auc"] if auc["n_pos"] is not None else None,
+                      "single_class": True if auc["n_pos"] is None else bool(auc["single_class"])}

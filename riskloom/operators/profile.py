@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,12 +73,14 @@ def describe_features(df: DataFrame, cols: Sequence[str], decimals: int | None =
 def label_distribution(df: DataFrame, label_col: str, decimals: int = 6) -> DataFrame:
     """Rows per label value and their share of all rows.
 
-    The share's denominator is a window over the grouped result (one row per class),
-    so the input is scanned once.
+    One ``rollup``: the total is the row of the grand grouping, joined as a one-row side, so
+    a label with many values (a regression target by mistake) never meets in one task.
     """
-    counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
-    total = F.sum("rows").over(Window.partitionBy())
-    return counts.withColumn("share", F.round(F.col("rows") / total, decimals))
+    rolled = df.select(F.col(label_col).alias("label")).rollup("label").agg(
+        F.count(F.lit(1)).alias("rows"), F.grouping("label").alias("_all"))
+    counts = rolled.filter("_all = 0").select("label", "rows", F.lit(1).alias("_one"))
+    total = rolled.filter("_all = 1").select(F.col("rows").alias("_n"), F.lit(1).alias("_one"))
+    return counts.join(total, "_one").select("label", "rows", F.round(F.col("rows") / F.col("_n"), decimals).alias("share"))
 
 
 def dataset_info(df: DataFrame, part_col: str, n_features: int) -> DataFrame:

@@ -111,3 +111,20 @@ def test_grouped_auc_property(spark, rows, num_ranges):
             assert got[g] is None
         else:
             assert got[g] == pytest.approx(expect, abs=1e-12)
+
+
+def test_no_rows_give_nulls_not_an_error(spark):
+    df = spark.createDataFrame([], "score double, label int, prediction int")
+    got = ev.evaluate_scores(df, "label", "score", "prediction")
+    assert got["n"] == 0 and got["accuracy"] is None and got["auc"] is None and got["single_class"]
+
+
+def test_cells_and_confusion_agree(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 9) / 10, int(rnd.random() < 0.4), rnd.choice("ab")) for _ in range(500)]
+    df = spark.createDataFrame(rows, "score double, label int, g string").withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+    a = {r["g"]: r.asDict() for r in ev.evaluate_groups(df, "label", "score", "prediction", ["g"]).collect()}
+    b = ev.metrics_from_confusion(ev.confusion_counts(df, "label", "prediction", ["g"]), ["g"]).collect()
+    for r in b:
+        assert {k: a[r["g"]][k] for k in r.asDict()} == pytest.approx(r.asDict())
+        assert a[r["g"]]["auc"] == pytest.approx(_brute_auc([(s, y) for s, y, g in rows if g == r["g"]]))
