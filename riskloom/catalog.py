@@ -30,10 +30,6 @@ class FeatureSpec:
     default: float | None = None
     labels: tuple[tuple[float, str], ...] | None = None
 
-    @property
-    def is_binary(self) -> bool:
-        return self.values == (0.0, 1.0)
-
 
 def binary(name: str, default: float, labels: tuple[str, str] | None = None) -> FeatureSpec:
     lab = None if labels is None else ((0.0, labels[0]), (1.0, labels[1]))
@@ -73,17 +69,23 @@ class FeatureCatalog:
         keys = [T.StructField(k, T.StringType(), True) for k in self.key_cols]
         return T.StructType(keys + list(self.feature_schema().fields))
 
+    def keys_in(self, df: DataFrame) -> list[str]:
+        """The key columns that a table has; a table or record without a key is as good."""
+        return [k for k in self.key_cols if k in df.columns]
+
+    def identity_in(self, df: DataFrame) -> list[str]:
+        """What tells its rows apart in results: the key, or without one the features themselves."""
+        return self.keys_in(df) or self.names
+
     def check(self, df: DataFrame, require_label: bool = False) -> None:
-        """Raise ``CatalogMismatch`` naming every missing or non-numeric column."""
+        """Raise ``CatalogMismatch`` naming every missing or non-numeric feature (and label)."""
         present = {f.name: f.dataType for f in df.schema.fields}
-        wanted = list(self.key_cols) + self.names + ([self.label] if require_label else [])
+        wanted = self.names + ([self.label] if require_label else [])
         missing = [c for c in wanted if c not in present]
         if missing:
             raise CatalogMismatch(f"missing columns: {', '.join(missing)}")
         numeric = (T.NumericType, T.BooleanType)
-        bad = [n for n in self.names if not isinstance(present[n], numeric)]
-        if require_label and not isinstance(present[self.label], numeric):
-            bad.append(self.label)
+        bad = [n for n in wanted if not isinstance(present[n], numeric)]
         if bad:
             raise CatalogMismatch(f"non-numeric columns: {', '.join(bad)}")
 

@@ -17,7 +17,7 @@ from riskloom.catalog import FeatureCatalog, FeatureSpec
 
 def select_features(df: DataFrame, catalog: FeatureCatalog, keep_keys: bool = False) -> DataFrame:
     """Catalog features in catalog order; label and key columns are dropped unless kept."""
-    cols = (list(catalog.key_cols) if keep_keys else []) + catalog.names
+    cols = (catalog.keys_in(df) if keep_keys else []) + catalog.names
     return df.select(*cols)
 
 
@@ -43,10 +43,15 @@ def valid_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def rejected_rows(df: DataFrame, key_cols: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Complement of ``valid_rows``: key plus the names of the offending columns."""
+    """Complement of ``valid_rows``: key plus the names of the offending columns.
+
+    One condition over all columns must stay out of the optimiser's constraint propagation, which
+    rewrites it once for every subset of renamed or cast columns (2^21 here).  A draw that is
+    always true makes the filter non-deterministic, which keeps it where it stands.
+    """
     bad_names = F.array_compact(F.array(*[F.when(_is_invalid(df, c), F.lit(c)) for c in cols]))
-    return (df.filter(any_invalid(df, cols))
-            .select(*key_cols, bad_names.alias("bad_columns")))
+    return (df.select(*key_cols, bad_names.alias("bad_columns"))
+            .filter(F.when(F.rand() >= 0, F.size("bad_columns") > 0)))
 
 
 def domain_rule(spec: FeatureSpec, col: Column) -> Column | None:
@@ -79,8 +84,9 @@ def domain_violations(df: DataFrame, catalog: FeatureCatalog) -> DataFrame:
             items.append(F.when(rule, F.struct(F.lit(spec.name).alias("feature"),
                                                F.col(spec.name).cast("double").alias("value"))))
     found = F.array_compact(F.array(*items))
-    return (df.select(*catalog.key_cols, F.explode(found).alias("v"))
-            .select(*catalog.key_cols, "v.feature", "v.value"))
+    keys = catalog.identity_in(df)
+    return (df.select(*keys, F.explode(found).alias("v"))
+            .select(*keys, "v.feature", "v.value"))
 
 
 def domain_summary(df: DataFrame, catalog: FeatureCatalog) -> DataFrame:

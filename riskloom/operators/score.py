@@ -40,8 +40,11 @@ def score_table(df: DataFrame, model: PipelineModel, key_cols: Sequence[str],
 
 def score_with_rejects(df: DataFrame, model: PipelineModel, catalog: FeatureCatalog,
                        extra_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(scored valid rows, rejected rows with the offending columns)."""
-    keys = list(catalog.key_cols)
+    """(scored valid rows, rejected rows with the offending columns).
+
+    Rows are told apart by their key, or by their features where the table has no key.
+    """
+    keys = catalog.identity_in(df)
     good = valid_rows(df, catalog.names)
     return (score_table(good, model, keys, extra_cols),
             rejected_rows(df, keys, catalog.names))
@@ -72,9 +75,3 @@ def linear_margin(coefficients: Mapping[str, float], intercept: float) -> Column
 
 def linear_probability(coefficients: Mapping[str, float], intercept: float) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-linear_margin(coefficients, intercept)))
-
-
-def linear_sql(coefficients: Mapping[str, float], intercept: float) -> str:
-    """Same model as SQL text (portable to any engine); literals keep full precision."""
-    terms = [f"{float(intercept)!r}"] + [f"{float(w)!r} * CAST({n} AS DOUBLE)" for n, w in coefficients.items()]
-    return f"1.0 / (1.0 + exp(-({' + '.join(terms)})))"

@@ -75,6 +75,25 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "riskloom", *parts])
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named, on whatever filesystem it is."""
+    if not path.startswith(scratch_path(spark)):
+        raise ValueError(f"not a scratch folder: {path!r}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def input_state(spark: SparkSession, *paths: str) -> str:
+    """Token of the files behind the paths (names, lengths, times): it changes when an input does."""
+    found = []
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        statuses = list(fs.listStatus(target)) if fs.exists(target) else []
+        found += sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in statuses)
+    return stable_token(*found)
+
+
 def stable_token(*values: object) -> str:
     """Short deterministic token used to name scratch tables per input."""
     text = "\x1f".join(str(v) for v in values)

@@ -15,11 +15,14 @@ same tables are written as DuckDB SQL (``*_SQL`` below) for the oracle checks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_bucket, hash_value
-from riskloom.session import scratch_path, stable_token
+from riskloom.session import input_state, scratch_path
 
 RISK_FEATURES = [
     "qty", "price", "discount_pct", "tax_pct", "is_returned", "is_accepted", "is_finished",
@@ -107,38 +110,52 @@ def risk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MATERIALISED: dict[tuple[str, str, str], DataFrame] = {}
-
+RISK_INPUTS = ("lineitem", "orders", "customer", "part", "supplier")
+#: Fixed 0/1 features over risk_rows with closed-form models: name and SQL condition.
+FLAGS = {
+    "hi_score": "qty * 2 + discount_pct * 3 + is_returned * 20 > 130",
+    "is_returned": "is_returned = 1",
+    "is_accepted": "is_accepted = 1",
+    "is_finished": "is_finished = 1",
+    "order_open": "order_open = 1",
+    "seg_building": "seg_building = 1",
+    "same_nation": "same_nation = 1",
+    "large_qty": "qty > 25",
+    "large_discount": "discount_pct > 5",
+    "large_tax": "tax_pct > 4",
+    "late_line": "line_no > 3",
+    "late_month": "ship_month > 6",
+    "low_priority": "priority > 2",
+}
 
-def materialise(spark: SparkSession, df: DataFrame, name: str, token: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
-    Cuts lineage before iterative work (model fits read their input many times) and
-    survives executor loss: a lost partition is re-read from the shared folder instead
-    of recomputing the star join.  Memoised per (session, name, token).
-    """
-    path = scratch_path(spark, "tables", f"{name}-{token}")
-    memo_key = (spark.sparkContext.applicationId, name, token)
-    cached = _MATERIALISED.get(memo_key)
-    if cached is not None:
-        return cached
-    df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    _MATERIALISED[memo_key] = out
-    return out
+def input_token(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when a file behind risk_rows does."""
+    return input_state(spark, *[f"{sf_dir.rstrip('/')}/{t}.parquet" for t in RISK_INPUTS])
 
 
 def risk_rows_path(spark: SparkSession, sf_dir: str) -> str:
-    return scratch_path(spark, "tables", f"risk_rows-{stable_token(sf_dir)}")
+    return scratch_path(spark, "tables", f"risk_rows-{spark.sparkContext.applicationId}-{input_token(spark, sf_dir)}")
 
 
 def risk_rows_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``risk_rows`` materialised once per input folder and session.
+    """``risk_rows`` written once per input state and session, for whoever reads it many times or by path.
 
-    Every query over the modelling table reads this copy (column-pruned, filters pushed
-    into the scan) instead of repeating the four-way star join and its shuffles.
+    Single-pass queries read the lazy ``risk_rows`` instead, of which Catalyst prunes what they
+    don't use, joins included.  ``drop_scratch(spark, risk_rows_path(...))`` deletes the copy.
     """
-    return materialise(spark, risk_rows(spark, sf_dir), "risk_rows", stable_token(sf_dir))
+    path = risk_rows_path(spark, sf_dir)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        risk_rows(spark, sf_dir).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+
+def flag_rows(spark: SparkSession, sf_dir: str, flags: Sequence[str]) -> DataFrame:
+    """row_key, the listed flags (0/1), split_bucket, fold and label."""
+    return risk_rows(spark, sf_dir).select("row_key", *[F.expr(f"CAST({FLAGS[f]} AS INT)").alias(f) for f in flags],
+                                           "split_bucket", "fold", "label", F.col("qty").alias("quantity"))
 
 
 def doc_features(spark: SparkSession, sf_dir: str) -> DataFrame:

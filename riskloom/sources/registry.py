@@ -12,6 +12,8 @@ import json
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from riskloom.catalog import FeatureCatalog
@@ -77,9 +79,30 @@ def write_report_json(spark: SparkSession, report: dict, path: str) -> None:
     local_frame(spark, [(text,)], "report string").coalesce(1).write.mode("overwrite").text(path)
 
 
+_METRICS = T.StructType([T.StructField(k, T.DoubleType()) for k in ("accuracy", "auc_roc", "f1_score", "training_time_sec")])
+REPORT_SCHEMA = T.StructType([
+    T.StructField("best_model", T.StringType()),
+    T.StructField("best_metrics", _METRICS),
+    T.StructField("all_models", T.MapType(T.StringType(), _METRICS)),
+    T.StructField("feature_importances", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("feature_columns", T.ArrayType(T.StringType())),
+    T.StructField("dataset_info", T.StructType([T.StructField(k, T.LongType()) for k in (
+        "total_rows", "total_features", "train_rows", "test_rows")])),
+])
+
+
 def read_report(spark: SparkSession, path: str) -> DataFrame | None:
-    """Read the report document; a missing report gives None ("no report yet")."""
+    """Read the report document under its declared schema, whichever model won.
+
+    A missing report gives None ("no report yet"); a document that is not a report raises
+    ``CatalogMismatch``.
+    """
     try:
-        return spark.read.option("multiLine", "true").json(path)
+        text = spark.read.text(path, wholetext=True)
     except AnalysisException:
         return None
+    found = text.select(F.from_json("value", REPORT_SCHEMA, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    row = found.select("best_model").first()
+    if row is None or row["best_model"] is None:
+        raise CatalogMismatch(f"no readable report at {path!r}")
+    return found

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -17,66 +17,68 @@ from riskloom.catalog import FeatureCatalog
 from riskloom.errors import CatalogMismatch
 
 
-def training_schema(catalog: FeatureCatalog) -> T.StructType:
-    """keys (string), features (double), label (double)."""
-    return T.StructType(list(catalog.record_schema().fields)
-                        + [T.StructField(catalog.label, T.DoubleType(), True)])
+def _loaded(reader, path: str, fmt: str, catalog: FeatureCatalog, label: bool) -> DataFrame:
+    """Rows as they are stored: Parquet under its own types, CSV by header name, JSON by field name.
 
+    CSV columns are read as text (no inference pass; a schema would bind them by position) and
+    JSON under numbers for the features and text for keys.
+    """
+    if fmt == "csv":
+        return reader.option("header", "true").csv(path)
+    if fmt == "json":
+        wanted = [*catalog.record_schema().fields, *([T.StructField(catalog.label, T.StringType())] if label else [])]
+        # features as text, so that 1, 1.0, "1" and true all arrive
+        return reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])).json(path)
+    return reader.format(fmt).load(path)
 
-def _csv_by_name(spark: SparkSession, path: str, wanted: Sequence[str],
-                 options: dict[str, str] | None = None) -> DataFrame:
-    """CSV with a header, matched to the catalog *by column name*.
 
-    A user schema would bind CSV columns by position, silently swapping features when a
-    file orders its columns differently; reading the header as strings (no inference
-    pass) and selecting by name avoids that.
-    """
-    df = spark.read.options(**(options or {})).option("header", "true").csv(path)
+def stored_schema(spark: SparkSession, path: str, catalog: FeatureCatalog, fmt: str) -> T.StructType:
+    """The schema under which a folder of records is stored (a stream needs it before it starts)."""
+    return _loaded(spark.read, path, fmt, catalog, label=False).schema
+
+
+def as_number(df: DataFrame, name: str) -> Column:
+    """A column of any stored type as double: text that is no number becomes null, true is 1."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        text = F.lower(F.trim(F.col(name)))
+        return F.when(text == "true", 1.0).when(text == "false", 0.0).otherwise(text.try_cast("double"))
+    return F.col(name).cast("double")
+
+
+def as_records(df: DataFrame, catalog: FeatureCatalog, label: bool = False) -> DataFrame:
+    """Catalog features (and label) as doubles, behind the key columns that ``df`` has, in their own types."""
+    wanted = catalog.names + ([catalog.label] if label else [])
     missing = [c for c in wanted if c not in df.columns]
     if missing:
         raise CatalogMismatch(f"missing columns: {', '.join(missing)}")
-    return df
+    odd = [c for c in wanted if not isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType, T.StringType))]
+    if odd:
+        raise CatalogMismatch(f"non-numeric columns: {', '.join(odd)}")
+    return df.select(*catalog.keys_in(df), *[as_number(df, c).alias(c) for c in wanted])
 
 
 def scan_training(spark: SparkSession, path: str, catalog: FeatureCatalog, fmt: str = "parquet",
                   options: dict[str, str] | None = None) -> DataFrame:
-    """Read a labelled table and project it onto the catalog (keys, features, label).
+    """Read a labelled table and project it onto the catalog (keys if it has them, features, label).
 
-    Parquet keeps its own column types (cast to the catalog's); JSON is read under the
-    catalog schema (fields bind by name); CSV binds by header name, and text that does
-    not parse as a number becomes null — a rejected row, not a failed job.  Any read or
-    shape problem becomes ``CatalogMismatch``.
+    Stored types are kept on reading and cast after, so whole numbers, booleans and numbers
+    as text all do.  A feature that is no number becomes null - a rejected row, not a failed
+    job; a label that is none becomes null too, and the training job refuses the table
+    by name.  Any read or shape problem becomes ``CatalogMismatch``.
     """
-    wanted = list(catalog.key_cols) + catalog.names + [catalog.label]
     try:
-        if fmt == "csv":
-            df = _csv_by_name(spark, path, wanted, options)
-            num = lambda c: F.col(c).try_cast("double")
-        else:
-            reader = spark.read.options(**(options or {}))
-            if fmt == "parquet":
-                df = reader.parquet(path)
-            else:
-                df = reader.schema(training_schema(catalog)).format(fmt).load(path)
+        df = _loaded(spark.read.options(**(options or {})), path, fmt, catalog, label=True)
+        if fmt != "csv" and fmt != "json":
             catalog.check(df, require_label=True)
-            num = lambda c: F.col(c).cast("double")
-        cols = ([F.col(k).cast("string").alias(k) for k in catalog.key_cols]
-                + [num(n).alias(n) for n in catalog.names] + [num(catalog.label).alias(catalog.label)])
-        return df.select(*cols)
+        out = as_records(df, catalog, label=True)
+        return out.select(*[F.col(k).cast("string").alias(k) for k in catalog.keys_in(out)], *catalog.names, catalog.label)
     except CatalogMismatch:
         raise
     except AnalysisException as exc:
         raise CatalogMismatch(f"cannot load training table {path!r}: {exc}") from exc
 
 
-def as_training_frame(df: DataFrame, catalog: FeatureCatalog) -> DataFrame:
-    """Same projection as ``scan_training`` for an existing DataFrame."""
-    catalog.check(df, require_label=True)
-    return df.select(*[F.col(k).cast("string").alias(k) for k in catalog.key_cols],
-                     *[F.col(n).cast("double").alias(n) for n in catalog.names],
-                     F.col(catalog.label).cast("double").alias(catalog.label))
-
-
 def duplicate_keys(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Keys that occur more than once (count per key is combined map-side, so a hot key
     costs one row per task, not a task holding all its rows)."""
@@ -89,29 +91,31 @@ def zip_features_target(features: DataFrame, targets: DataFrame, key_cols: Seque
 
     The reference aligns two frames by row position; a distributed table has no stable
     row position, so the key is required.  Keys must be unique on both sides: a
-    duplicated key would make the join emit every pair of its rows, so it is refused
-    (``CatalogMismatch``) instead.
+    duplicated key would make the join emit every pair of its rows.  The check is part of the
+    plan - each side meets a count per key (combined map-side, so a hot key is one row per task)
+    and a repeated key stops the job - so no job runs before the result is asked for.
     """
     keys = list(key_cols)
-    if validate_unique:
-        for side, df in (("features", features), ("targets", targets)):
-            dup = duplicate_keys(df.select(*keys), keys).first()
-            if dup is not None:
-                raise CatalogMismatch(f"{side} key {keys} is not unique, e.g. {dup.asDict()}")
-    return features.join(targets, keys, "full_outer")
+    if not validate_unique:
+        return features.join(targets, keys, "full_outer")
+    once = []
+    for side, df in (("features", features), ("targets", targets)):
+        value_cols = [c for c in df.columns if c not in keys]
+        found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in value_cols])
+        text = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+        stop = F.raise_error(F.concat(F.lit(f"{side} key {keys} is not unique, e.g. "), text))
+        # the guard sits in every key column, so no pruning can skip it
+        checked = [F.when(F.col("_n") > 1, stop.cast(df.schema[k].dataType)).otherwise(F.col(k)).alias(k) for k in keys]
+        once.append(found.select(*checked, *value_cols))
+    return once[0].join(once[1], keys, "full_outer")
 
 
 def read_records(spark: SparkSession, path: str, catalog: FeatureCatalog, fmt: str = "json") -> DataFrame:
-    """Records to score (JSON lines, CSV, Parquet) under the catalog's record schema.
-
-    CSV columns bind by header name (see ``_csv_by_name``); JSON fields by name.
-    """
-    if fmt == "csv":
-        wanted = list(catalog.key_cols) + catalog.names
-        df = _csv_by_name(spark, path, wanted)
-        return df.select(*[F.col(k).alias(k) for k in catalog.key_cols],
-                         *[F.col(n).try_cast("double").alias(n) for n in catalog.names])
-    return spark.read.schema(catalog.record_schema()).format(fmt).load(path)
+    """Records to score (JSON lines, CSV, Parquet): keys in their own type if there are any, features as doubles."""
+    try:
+        return as_records(_loaded(spark.read, path, fmt, catalog, label=False), catalog)
+    except AnalysisException as exc:
+        raise CatalogMismatch(f"cannot load records {path!r}: {exc}") from exc
 
 
 def records_from_json(df: DataFrame, json_col: str, schema: T.StructType,

@@ -1,8 +1,8 @@
 """Structured Streaming scorer (C2): records arriving as files are scored by the saved
-pipeline and appended to a Parquet sink.
+pipeline and appended to a Parquet sink; records that can't be scored go to a reject sink.
 
-The query is stateless (projection only), so it needs no watermark; the checkpoint and
-the sink live under the shared checkpoint folder, which makes a restarted query resume
+Both queries are stateless (projection only), so they need no watermark; checkpoints and
+sinks live under the shared checkpoint folder, which makes a restarted query resume
 exactly where it stopped.  ``available_now`` processes the current backlog and stops.
 """
 
@@ -12,7 +12,19 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.catalog import FeatureCatalog
-from riskloom.operators.score import score_table
+from riskloom.operators.score import score_with_rejects
+from riskloom.sources.tables import as_records, stored_schema
+
+
+def record_stream(spark: SparkSession, source_dir: str, catalog: FeatureCatalog, fmt: str = "parquet",
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """The records of a folder as a stream, under the types they are stored in, cast after reading."""
+    reader = spark.readStream.schema(stored_schema(spark, source_dir, catalog, fmt))
+    if fmt == "csv":
+        reader = reader.option("header", "true").option("enforceSchema", "false")  # columns by name, or an error
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return as_records(reader.format(fmt).load(source_dir), catalog)
 
 
 def score_stream(
@@ -26,23 +38,26 @@ def score_stream(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ):
-    """Start the streaming scorer; returns the ``StreamingQuery``."""
-    reader = spark.readStream.schema(catalog.record_schema())
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    records = reader.format(fmt).load(source_dir)
-    scored = score_table(records, model, list(catalog.key_cols))
-    writer = (scored.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint_dir).option("path", sink_dir))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    return writer.start()
+    """Start the scorer; returns the ``StreamingQuery`` of scored and of rejected records.
+
+    Every record goes to one of ``<sink_dir>/scored`` and ``<sink_dir>/rejects`` (with the names of the
+    offending columns).
+    """
+    records = record_stream(spark, source_dir, catalog, fmt, max_files_per_trigger)
+    queries = []
+    for name, rows in zip(("scored", "rejects"), score_with_rejects(records, model, catalog)):
+        writer = (rows.writeStream.format("parquet").outputMode("append")
+                  .option("checkpointLocation", f"{checkpoint_dir}/{name}").option("path", f"{sink_dir}/{name}"))
+        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+        queries.append(writer.start())
+    return tuple(queries)
 
 
 def run_to_completion(spark: SparkSession, source_dir: str, model: PipelineModel, catalog: FeatureCatalog,
-                      sink_dir: str, checkpoint_dir: str, fmt: str = "parquet") -> DataFrame:
-    """Process the backlog, wait for the query to stop and return the sink as a table."""
-    query = score_stream(spark, source_dir, model, catalog, sink_dir, checkpoint_dir, fmt)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return spark.read.parquet(sink_dir)
+                      sink_dir: str, checkpoint_dir: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """Process the backlog, wait for both queries to stop and return (scored, rejects)."""
+    for query in score_stream(spark, source_dir, model, catalog, sink_dir, checkpoint_dir, fmt):
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    return spark.read.parquet(f"{sink_dir}/scored"), spark.read.parquet(f"{sink_dir}/rejects")
