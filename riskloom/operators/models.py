@@ -9,15 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.errors import EmptyInput, SingleClassLabel
-from riskloom.operators.features import SCALED
+from riskloom.operators.evaluate import evaluate_scores
+from riskloom.operators.features import FEATURES, SCALED, scaler
+from riskloom.operators.partitioning import training_layout
 
 
 @dataclass(frozen=True)
@@ -61,44 +63,42 @@ def reference_grids(estimator) -> list[dict]:
     return b.build()
 
 
-def check_trainable(df: DataFrame, label_col: str) -> dict[float, int]:
-    """Class counts of the label (one small aggregate); refuse empty or single-class data."""
-    counts = {float(r[0]): int(r[1]) for r in df.groupBy(label_col).count().collect()}
-    if not counts:
-        raise EmptyInput("cannot train on an empty table")
-    if len([k for k in counts if k is not None]) < 2:
-        raise SingleClassLabel(f"label {label_col!r} has a single class: {sorted(counts)}")
-    return counts
-
-
-def fit_model(spec: ModelSpec, train: DataFrame, features_col: str = SCALED, label_col: str = "label"):
-    return spec.estimator(features_col, label_col).fit(train)
-
-
 def pipeline_model(stages: Sequence[Transformer]) -> PipelineModel:
     """Deliverable pipeline from already *fitted* stages — nothing is refitted."""
     return PipelineModel(stages=list(stages))
 
 
-def cross_validate(
-    stages: Sequence[object],
-    grid: list[dict],
-    train: DataFrame,
-    label_col: str,
-    fold_col: str = "fold",
-    num_folds: int = 5,
-    parallelism: int = 4,
-    raw_col: str = "rawPrediction",
-) -> CrossValidatorModel:
-    """k-fold CV maximising AUC with the *whole* pipeline as estimator (no leakage).
-
-    ``fold_col`` holds a key-hash fold (see ``split.fold_assignment``), so folds are
-    reproducible on any cluster shape.
+def cross_validate(estimators: Sequence[tuple[object, list[dict]]], data: DataFrame, label_col: str,
+                   features_col: str = FEATURES, fold_col: str = "fold", num_folds: int = 5, row_cols: Sequence[str] = (),
+                   partitions: int | None = None) -> list[dict]:
+    """Mean and per-fold exact AUC of every grid point of every estimator; nothing is refitted at the end.
+
+    ``data`` holds label, unscaled vector and a key-hash fold (see ``split.fold_assignment``); rows
+    of other folds are not used.  The slim table is laid out as for training and cached once;
+    each fold is a plain filter of it, and the scaler is fitted on the fold's training rows only.
+    An estimator's features column must be ``SCALED``; ``row_cols`` (the key) spread equal vectors.
     """
-    evaluator = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol=raw_col,
-                                              metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=Pipeline(stages=list(stages)), estimatorParamMaps=grid,
-                        evaluator=evaluator, foldCol=fold_col, numFolds=num_folds,
-                        parallelism=parallelism)
-    # CrossValidator caches each fold's fit and validation parts itself
-    return cv.fit(train.withColumn(fold_col, F.col(fold_col).cast("int")))
+    slim = data.select(*row_cols, F.col(label_col).cast("double").alias(label_col), features_col,
+                       F.col(fold_col).cast("int").alias(fold_col))
+    by = [*row_cols, "_values", label_col]
+    slim = training_layout(slim.withColumn("_values", vector_to_array(features_col)), by, partitions).drop("_values", *row_cols)
+    slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
+    found = [[[] for _ in grid] for _, grid in estimators]
+    try:
+        for fold in range(num_folds):
+            inside, outside = slim.filter(F.col(fold_col) != fold).drop(fold_col), slim.filter(F.col(fold_col) == fold)
+            scale = scaler(features_col, SCALED).fit(inside)
+            train = scale.transform(inside).select(label_col, SCALED).persist(StorageLevel.MEMORY_AND_DISK)
+            check = scale.transform(outside).select(label_col, SCALED)
+            for e, (estimator, grid) in enumerate(estimators):
+                for g, point in enumerate(grid):
+                    scored = estimator.fit(train, point).transform(check).select(
+                        label_col, F.col("prediction").cast("int").alias("prediction"),
+                        vector_to_array("rawPrediction")[1].alias("score"))
+                    found[e][g].append(evaluate_scores(scored, label_col, "score", "prediction")["auc"])
+            train.unpersist()
+    finally:
+        slim.unpersist()
+    return [{"estimator": type(estimator).__name__, "point": g, "params": {p.name: v for p, v in point.items()},
+             "fold_auc": aucs, "mean_auc": sum(aucs) / len(aucs) if aucs and None not in aucs else None}
+            for (estimator, grid), per_point in zip(estimators, found) for g, (point, aucs) in enumerate(zip(grid, per_point))]

@@ -1,51 +1,42 @@
 """Layout of data that iterative learners read many times.
 
-A scan's partitions follow the file layout: a few large row groups leave most read
-splits empty, so an iterative fit (100 LR iterations, 150 tree levels) would run on a
-handful of cores.  Before caching such data we spread it round-robin into up to two
-partitions per core (none smaller than ~10k rows) and at most ``rows_per_partition``
-rows each.  Round-robin (not a
-hash of the key) keeps partitions equal even when one key or a group of identical rows
-holds a large share of the table; Spark sorts each input partition before a
-round-robin exchange (``spark.sql.execution.sortBeforeRepartition``), so a partition
-recomputed after executor loss receives the same rows.
+Spark ML's bagging and split sampling follow partitions and the order of rows within them,
+so a fitted forest depends on the layout of its input.  The layout here depends on the rows
+and on configuration only - never on cores, executors, file layout or row count: rows are
+dealt to a fixed number of partitions by a hash of the key (or of their values, without a
+key) and sorted within each partition.  The same rows give the same trees on any cluster.
 """
 
 from __future__ import annotations
 
-import math
-from pyspark.sql import DataFrame
-
-ROWS_PER_PARTITION = 1_000_000
-
-
-TASKS_PER_CORE = 2
+from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-MIN_ROWS_PER_PARTITION = 10_000
+#: Partitions of training data unless ``spark.riskloom.trainPartitions`` says otherwise.  Set it so that a partition of
+#: the label-and-vector rows fits an executor's cache share (about 128 MB: 4,000 at 0.5 TB); trees change with it.
+TRAIN_PARTITIONS = 16
+SETTING = "spark.riskloom.trainPartitions"
 
 
-def target_partitions(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
-    """At most ~1M rows per task; up to two tasks per core, but none with fewer than
-    ~10k rows (an iterative fit runs one job per step, so tiny tasks only add overhead)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    rows = max(n_rows, 1)
-    spread = min(TASKS_PER_CORE * cores, math.ceil(rows / MIN_ROWS_PER_PARTITION))
-    return max(1, spread, math.ceil(rows / rows_per_partition))
+def train_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(SETTING, str(TRAIN_PARTITIONS)))
 
 
-def balanced(df: DataFrame, n_rows: int | None, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Round-robin repartition for iterative reads (one shuffle, paid once before caching).
+def training_layout(df: DataFrame, by: Sequence[str], n: int | None = None) -> DataFrame:
+    """Rows dealt by a hash over the columns ``by`` and sorted by it, then by them.
 
-    Without a row count the partition count never drops below the current one.
+    Give every column that tells rows apart, features included: then a key that holds a large
+    share of the rows is spread like any others, and only rows equal in all of them meet.
     """
-    if n_rows is None:
-        n = max(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
-    else:
-        n = target_partitions(df, n_rows, rows_per_partition)
-    return df.repartition(n)
+    order = F.xxhash64(*by)
+    return df.repartition(n or train_partitions(df), order).sortWithinPartitions(order, *by)
 
 
-def tree_depth(n_partitions: int) -> int:
-    """Depth of tree aggregation for per-iteration gradient sums (2 up to ~1000 tasks)."""
-    return 2 if n_partitions <= 1000 else 3
+def tree_depth(n_partitions: int, fan_in: int = 32) -> int:
+    """Depth of tree aggregation so that no task merges more than about ``fan_in`` partial sums."""
+    depth, reach = 2, fan_in ** 2
+    while reach < n_partitions:
+        depth, reach = depth + 1, reach * fan_in
+    return depth

@@ -11,8 +11,8 @@ Differences from a naive translation, each deliberate:
 * every count comes from one conditional aggregate; each model's predictions are
   reduced in one pass to (score, prediction) cells that feed both the confusion
   metrics and the exact AUC;
-* train and test parts are spread round-robin into at least two partitions per core
-  before caching, so iterative fits use every core whatever the file layout or key skew.
+* the learners read one slim cached table (label, vector, part) whose layout depends on the
+  rows and on configuration only, so the same rows give the same trees on any cluster.
 """
 
 from __future__ import annotations
@@ -32,13 +32,13 @@ from riskloom.functions.local import local_frame
 from riskloom.errors import CatalogMismatch, EmptyInput, SingleClassLabel
 from riskloom.operators import evaluate as ev
 from riskloom.operators.explain import coefficients, feature_importances, tree_stats
-from riskloom.operators.features import SCALED, assembler, fit_scaler
+from riskloom.operators.features import FEATURES, SCALED, assembler, scaler
 from riskloom.operators.models import ModelSpec, pipeline_model, reference_family
-from riskloom.operators.partitioning import balanced, tree_depth
+from riskloom.operators.partitioning import train_partitions, training_layout, tree_depth
 from riskloom.operators.quality import any_invalid, rejected_rows, valid_rows
 from riskloom.operators.score import positive_probability
 from riskloom.operators.select import leaderboard, round_metrics, select_winner
-from riskloom.operators.split import hash_split
+from riskloom.operators.split import hash_split, random_split
 from riskloom.sources import registry
 
 
@@ -49,7 +49,8 @@ class TrainConfig:
     train_percent: int = 80
     bucket_col: str | None = None       # reuse a split bucket the table already carries
     scaler_scope: str = "train"         # "train" (no leakage) or "all" (reference behaviour)
-    num_ranges: int | None = None       # AUC score ranges; None = from the test row count
+    split: str = "hash"                 # "hash" (reproducible) or "random" (parity with randomSplit)
+    seed: int = 42                      # of the random split
     auc_bins: int | None = None         # None = exact AUC; n = Spark's evaluator with n bins
                                         # (the reference's setting is 1000: an approximation)
     model_dir: str | None = None        # save pipeline + reports here when given
@@ -79,7 +80,7 @@ def _split_counts(df: DataFrame, catalog: FeatureCatalog, label: str) -> dict:
         F.count(F.when(train, 1)).alias("train_rows"),
         F.count(F.when((~bad) & (F.col("part") == "test"), 1)).alias("test_rows"),
         F.count(F.when(train & (F.col(label) == 1), 1)).alias("train_pos"),
-        F.count(F.when(~F.col(label).isin(0, 1) | F.col(label).isNull(), 1)).alias("bad_labels"),
+        F.count(F.when(F.col(label).isNull() | ~F.col(label).isin(0, 1), 1)).alias("bad_labels"),
     ).first()
     return row.asDict()
 
@@ -87,47 +88,52 @@ def _split_counts(df: DataFrame, catalog: FeatureCatalog, label: str) -> dict:
 def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> RunResult:
     cat = config.catalog
     label = cat.label
-    keys = list(cat.key_cols)
     cat.check(table, require_label=True)
+    keys = cat.identity_in(table)
 
-    split = hash_split(table, keys, config.train_percent, bucket_col=config.bucket_col)
+    if config.split == "random":
+        split = random_split(table, config.train_percent, config.seed)
+    else:
+        split = hash_split(table, cat.keys_in(table), config.train_percent, bucket_col=config.bucket_col, value_cols=cat.names)
     counts = _split_counts(split, cat, label)
     if counts["bad_labels"]:
-        raise CatalogMismatch(f"label {label!r} must be 0 or 1; {counts['bad_labels']} rows are not")
+        raise CatalogMismatch(f"label {label!r} must be 0 or 1; {counts['bad_labels']} rows are not (null, or no number, included)")
     if counts["train_rows"] == 0:
         raise EmptyInput("no training rows after validation and split")
+    if counts["test_rows"] == 0:
+        raise EmptyInput("no held-out rows after validation and split: nothing to evaluate or select by")
     if counts["train_pos"] in (0, counts["train_rows"]):
         raise SingleClassLabel(f"label {label!r} has a single class in the training part")
     info = {"total_rows": counts["input_rows"] - counts["rejected_rows"], "total_features": len(cat.names),
             "train_rows": counts["train_rows"], "test_rows": counts["test_rows"]}
 
-    good = valid_rows(split, cat.names).select(*keys, *cat.names, F.col(label).cast("double").alias(label), "part")
+    # one exchange; what tells rows apart goes no further than the sort
     asm = assembler(cat.names)
-    assembled = asm.transform(good)
-    fit_on = assembled if config.scaler_scope == "all" else assembled.filter(F.col("part") == "train")
-    scaler_model = fit_scaler(fit_on)
-    scaled = scaler_model.transform(assembled).select(*keys, label, SCALED, "part")
-
-    # balanced, cached inputs: every fit reads `train` many times, every model scores `test`
-    train = balanced(scaled.filter(F.col("part") == "train").drop("part"), counts["train_rows"])
-    test = balanced(scaled.filter(F.col("part") == "test").drop("part"), counts["test_rows"])
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = list(dict.fromkeys([*keys, *cat.names]))
+    good = valid_rows(split, cat.names).select(*rows, F.col(label).cast("double").alias(label), "part")
+    laid = asm.transform(training_layout(good, [*rows, label])).select(label, "part", FEATURES)
+    laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
+    fit_on = laid if config.scaler_scope == "all" else laid.filter(F.col("part") == "train")
+    scaler_model = scaler().fit(fit_on)
+    scaled = scaler_model.transform(laid).select(label, "part", SCALED).persist(StorageLevel.MEMORY_AND_DISK)
+    train = scaled.filter(F.col("part") == "train").select(label, SCALED)
+    test = scaled.filter(F.col("part") == "test").select(label, SCALED)
     fitted, rows = {}, []
     try:
-        train.count()  # fill both caches up front so the per-model clocks time the models
-        test.count()
+        scaled.count()  # filled up front so the per-model clocks time the models
+        laid.unpersist()
+        depth = tree_depth(train_partitions(scaled))
         for spec in config.family:
             t0 = time.time()
             est = spec.estimator(SCALED, label)
             if est.hasParam("aggregationDepth"):  # same sums, shallower/deeper reduction tree
-                est = est.copy({est.getParam("aggregationDepth"): tree_depth(train.rdd.getNumPartitions())})
+                est = est.copy({est.getParam("aggregationDepth"): depth})
             model = est.fit(train)
             t1 = time.time()
             scored = model.transform(test)
             preds = scored.select(label, F.col("prediction").cast("int").alias("prediction"),
                                   positive_probability("rawPrediction").alias("raw_score"))
-            m = ev.evaluate_scores(preds, label, "raw_score", "prediction", config.num_ranges)
+            m = ev.evaluate_scores(preds, label, "raw_score", "prediction")
             if config.auc_bins:
                 m["auc"] = BinaryClassificationEvaluator(
                     labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
@@ -143,8 +149,8 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
                 **tree_stats(model),
             })
     finally:
-        train.unpersist()
-        test.unpersist()
+        laid.unpersist()
+        scaled.unpersist()
 
     board = round_metrics(leaderboard(spark, rows))
     board_rows = [r.asDict() for r in board.collect()]  # one row per model
