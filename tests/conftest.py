@@ -27,7 +27,7 @@ def duck():
 
     con = duckdb.connect()
     for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-              "documents", "embeddings", "labels"]:
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
 

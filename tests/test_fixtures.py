@@ -31,8 +31,30 @@ def test_doc_quality_keeps_unlabelled_documents(spark):
     assert df.filter(F.col("quality").isNotNull()).count() == labelled
 
 
-def test_materialise_is_memoised(spark):
-    a = fx.risk_rows_table(spark, SF_SMALL)
-    b = fx.risk_rows_table(spark, SF_SMALL)
-    assert a is b
-    assert a.count() == 6000
+def test_copy_is_written_once_per_input_state(spark, tmp_dir):
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    shutil.copytree(SF_SMALL, f"{tmp_dir}/t", copy_function=shutil.copyfile)
+    first = fx.risk_rows_path(spark, f"{tmp_dir}/t")
+    assert fx.risk_rows_table(spark, f"{tmp_dir}/t").count() == 6000
+    assert fx.risk_rows_path(spark, f"{tmp_dir}/t") == first
+    kept = pq.read_table(f"{SF_SMALL}/lineitem.parquet").slice(0, 100)
+    pq.write_table(kept, f"{tmp_dir}/t/lineitem.parquet")      # the input changes within the session
+    assert fx.risk_rows_path(spark, f"{tmp_dir}/t") != first
+    assert fx.risk_rows_table(spark, f"{tmp_dir}/t").count() == 100
+
+
+def test_scratch_is_deleted_only_below_the_scratch_folder(spark):
+    import pytest
+
+    from riskloom.session import drop_scratch, scratch_path
+
+    path = scratch_path(spark, "tables", "short-lived")
+    spark.range(3).write.parquet(path)
+    drop_scratch(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/tmp/elsewhere")

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from riskloom.catalog import RISK_ROWS_CATALOG as CAT
-from riskloom.errors import CatalogMismatch, ModelUnavailable, SingleClassLabel
+from riskloom.errors import CatalogMismatch, EmptyInput, ModelUnavailable, SingleClassLabel
 from riskloom.plans.fixture_runs import fixture_run, risk_config
 from riskloom.plans.score_job import score_job
 from riskloom.plans.train_job import train_job
 from riskloom.sources import registry
 from riskloom.sources.fixtures import risk_rows_table
+from riskloom.sources.tables import read_records
 from riskloom.streaming.score_stream import run_to_completion
 
 
@@ -43,7 +44,10 @@ def test_report_layout(run):
 
 
 def test_gbt_importances_sum_to_one(spark, run):
-    imps = [r["importance"] for r in E.queries()["family_importances"](spark, SF_SMALL).collect()]
+    from riskloom.operators.explain import feature_importances
+
+    found = feature_importances(spark, run.fitted["Gradient Boosted Trees"], CAT.names)
+    imps = [r["importance"] for r in found.collect()]
     assert len(imps) == len(CAT.names)
     assert sum(imps) == pytest.approx(1.0, abs=1e-5)
 
@@ -80,19 +84,92 @@ def test_report_round_trip(spark, run, tmp_dir):
     assert doc["best_model"] == run.winner
     assert doc["dataset_info"]["total_rows"] == 6000
     assert registry.read_report(spark, f"{tmp_dir}/absent") is None
+    board = [{"model": m, "ordinal": k, "accuracy": .5, "auc_roc": .5, "f1_score": .5, "training_time_sec": 1.0}
+             for k, m in enumerate(("A", "B"), 1)]
+    info = {"total_rows": 2, "total_features": 1, "train_rows": 1, "test_rows": 1}
+    for winner, importances in (("A", None), ("B", [("x", 1.0)])):   # the same types whichever model wins
+        registry.write_report_json(spark, registry.report_document(board, winner, importances, ["x"], info), f"{tmp_dir}/{winner}")
+        found = registry.read_report(spark, f"{tmp_dir}/{winner}")
+        assert found.schema == registry.REPORT_SCHEMA and found.first()["feature_importances"] == (importances and dict(importances))
+    spark.createDataFrame([("no report",)], "value string").write.text(f"{tmp_dir}/broken")
+    with pytest.raises(CatalogMismatch):
+        registry.read_report(spark, f"{tmp_dir}/broken")
     text = "".join(r["value"] for r in spark.read.text(f"{tmp_dir}/metrics").collect())
     assert json.loads(text)["feature_columns"] == CAT.names
 
 
-def test_stream_equals_batch(spark, run, tmp_dir):
-    test = risk_rows_table(spark, SF_SMALL).filter("split_bucket >= 80").select(
+def _with_gaps(spark):
+    rows = risk_rows_table(spark, SF_SMALL).filter("split_bucket >= 80").select(
         "row_key", *[F.col(c).cast("double").alias(c) for c in CAT.names])
-    test.repartition(3).write.parquet(f"{tmp_dir}/src")
-    streamed = run_to_completion(spark, f"{tmp_dir}/src", run.pipeline, CAT, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt")
-    batch, _ = score_job(spark, test, run.pipeline, CAT)
+    return rows.withColumn("qty", F.when(F.col("qty") != 50, F.col("qty")))
+
+
+def test_stream_equals_batch_and_loses_nothing(spark, run, tmp_dir):
+    records = _with_gaps(spark)
+    records.repartition(3).write.parquet(f"{tmp_dir}/src")
+    streamed, rejected = run_to_completion(spark, f"{tmp_dir}/src", run.pipeline, CAT, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt")
+    batch, rejects = score_job(spark, records, run.pipeline, CAT)
     cols = ["row_key", "prediction", "probability"]
     assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
     assert streamed.count() == batch.count()
+    assert rejected.exceptAll(rejects).count() == 0
+    assert streamed.count() + rejected.count() == records.count() and rejected.count() > 0
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
+@pytest.mark.parametrize("kind", ["bigint", "int", "double", "string"])
+def test_records_of_any_stored_type(spark, run, tmp_dir, fmt, kind):
+    """Features and keys keep the type they are stored in: batch and stream read them all."""
+    rows = _with_gaps(spark).limit(60)
+    whole = [c for c in CAT.names if c not in ("price", "order_total", "cust_balance", "part_price", "supp_balance")]
+    stored = rows.select(F.monotonically_increasing_id().alias("row_key"), *[
+        F.col(c).cast(kind).alias(c) if c in whole and c != "is_returned" else (
+            (F.col(c) == 1).alias(c) if c == "is_returned" else F.col(c)) for c in CAT.names])
+    stored.write.format(fmt).option("header", "true").save(f"{tmp_dir}/r")
+    records = read_records(spark, f"{tmp_dir}/r", CAT, fmt)
+    scored, rejects = score_job(spark, records, run.pipeline, CAT)
+    assert scored.count() + rejects.count() == 60
+    if fmt == "parquet":
+        assert dict(records.dtypes)["row_key"] == "bigint"
+    want, _ = score_job(spark, rows, run.pipeline, CAT)
+    assert sorted(r.probability for r in scored.collect()) == pytest.approx(sorted(r.probability for r in want.collect()))
+    streamed, rejected = run_to_completion(spark, f"{tmp_dir}/r", run.pipeline, CAT, f"{tmp_dir}/s", f"{tmp_dir}/c", fmt)
+    assert (streamed.count(), rejected.count()) == (scored.count(), rejects.count())
+
+
+def test_records_without_a_key(spark, run, tmp_dir):
+    _with_gaps(spark).drop("row_key").limit(40).write.json(f"{tmp_dir}/r")
+    scored, rejects = score_job(spark, read_records(spark, f"{tmp_dir}/r", CAT), run.pipeline, CAT)
+    assert scored.columns[:len(CAT.names)] == CAT.names and scored.count() + rejects.count() == 40
+
+
+def test_empty_test_part_is_refused_before_fitting(spark):
+    config = risk_config("Logistic Regression")
+    config.train_percent = 100
+    with pytest.raises(EmptyInput, match="held-out"):
+        train_job(spark, risk_rows_table(spark, SF_SMALL), config)
+
+
+def test_null_label_is_refused_by_name(spark):
+    table = risk_rows_table(spark, SF_SMALL).withColumn("label", F.when(F.col("line_no") != 7, F.col("label")))
+    with pytest.raises(CatalogMismatch, match="0 or 1"):
+        train_job(spark, table, risk_config("Logistic Regression"))
+
+
+def test_random_split_option(spark):
+    config = risk_config("Logistic Regression")
+    config.split, config.bucket_col = "random", None
+    info = train_job(spark, risk_rows_table(spark, SF_SMALL), config).dataset_info
+    assert info["train_rows"] + info["test_rows"] == 6000 and 4600 < info["train_rows"] < 5000
+
+
+def test_same_trees_from_any_input_layout(spark):
+    table = risk_rows_table(spark, SF_SMALL)
+    dumps = []
+    for n in (1, 4, 16):
+        dumps.append([train_job(spark, table.repartition(n), risk_config(m)).fitted[m].toDebugString.split("\n", 1)[1]
+                      for m in ("Random Forest", "Gradient Boosted Trees")])
+    assert dumps[0] == dumps[1] == dumps[2]
 
 
 def test_single_class_refused(spark):
@@ -140,6 +217,8 @@ def test_stream_query_repeatable(spark):
     """A second run in the same session resumes from its checkpoint: no duplicate output."""
     first = E.queries()["score_stream"](spark, SF_SMALL).count()
     again = E.queries()["score_stream"](spark, SF_SMALL)
+    rejected = E.queries()["score_stream_rejects"](spark, SF_SMALL)
+    assert first + rejected.count() == 6000 and rejected.count() > 0
     assert again.count() == first == again.select("row_key").distinct().count()
 
 

@@ -55,12 +55,20 @@ def test_documented_grids_have_four_points():
         assert len(reference_grids(spec.estimator())) == 4
 
 
-def test_check_trainable_refuses_single_class_and_empty(spark):
-    from riskloom.errors import EmptyInput, SingleClassLabel
-    from riskloom.operators.models import check_trainable
-
-    assert check_trainable(spark.createDataFrame([(0.0,), (1.0,), (1.0,)], "label double"), "label") == {0.0: 1, 1.0: 2}
-    with pytest.raises(SingleClassLabel):
-        check_trainable(spark.createDataFrame([(1.0,), (1.0,)], "label double"), "label")
-    with pytest.raises(EmptyInput):
-        check_trainable(spark.createDataFrame([], "label double"), "label")
+def test_cross_validation_closed_form(spark):
+    """On one 0/1 feature every fold's AUC is (1 + tpr - fpr) / 2, whatever the grid point."""
+    from riskloom.operators.features import SCALED
+    from riskloom.operators.models import cross_validate
+
+    rows = [(float(i % 3 == 0), float(i % 3 == 0) if i % 7 else 1.0 - float(i % 3 == 0), i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "x double, label double, fold int")
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    lr = LogisticRegression(featuresCol=SCALED, labelCol="label")
+    got = cross_validate([(lr, reference_grids(lr))], data, "label", num_folds=2, partitions=2)
+    want = []
+    for fold in range(2):
+        own = [(x, y) for x, y, f in rows if f == fold]
+        rate = lambda c: sum(x for x, y in own if y == c) / sum(1 for _, y in own if y == c)
+        want.append((1 + rate(1.0) - rate(0.0)) / 2)
+    assert len(got) == 4 and all(r["fold_auc"] == pytest.approx(want) for r in got)
+    assert got[0]["mean_auc"] == pytest.approx(sum(want) / 2)

@@ -81,3 +81,11 @@ def test_reference_job_command_with_parity_flags(spark, cdc_path, tmp_dir, capsy
     assert report["feature_columns"] == CDC_CATALOG.names
     assert report["dataset_info"]["total_rows"] == 6000
     assert load_pipeline(f"{tmp_dir}/m/best_model", CDC_CATALOG) is not None
+
+
+def test_table_without_a_key(spark, cdc_path, tmp_dir):
+    """The 21 indicators and the label alone: split by values, rejects and scores carry the features."""
+    spark.read.option("header", "true").csv(cdc_path).drop("ID").write.option("header", "true").csv(f"{tmp_dir}/t")
+    run = reference_job(spark, f"{tmp_dir}/t", f"{tmp_dir}/model")
+    assert run.dataset_info["total_rows"] == 6000 and 0 < run.dataset_info["test_rows"] < 3000
+    assert run.rejects.columns == [*CDC_CATALOG.names, "bad_columns"]

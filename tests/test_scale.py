@@ -3,9 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.errors import CatalogMismatch
 from riskloom.operators import evaluate as ev
-from riskloom.operators.partitioning import balanced
+from riskloom.operators.partitioning import training_layout, tree_depth
 from riskloom.sources.tables import zip_features_target
 
 
@@ -17,17 +16,17 @@ def _skewed(spark, n=30000):
         (F.col("id") % 7 < 2).cast("int").alias("label"))
 
 
-def test_balanced_partitions_equal_under_hot_key(spark):
-    df = _skewed(spark)
-    sizes = balanced(df, 30000).rdd.glom().map(len).collect()
-    assert sum(sizes) == 30000
-    assert max(sizes) <= 1.05 * (30000 / len(sizes)) + 1
+def test_layout_spreads_a_hot_key(spark):
+    df = _skewed(spark).withColumn("id", F.monotonically_increasing_id())
+    sizes = [len(p) for p in training_layout(df, ["k", "score", "label", "id"], 8).rdd.glom().collect()]
+    assert sum(sizes) == 30000 and max(sizes) <= 1.15 * 30000 / 8
 
 
-def test_balanced_partitions_equal_under_duplicate_rows(spark):
-    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("x"))
-    sizes = balanced(df, 30000).rdd.glom().map(len).collect()
-    assert max(sizes) <= 1.05 * (30000 / len(sizes)) + 1
+def test_layout_does_not_depend_on_input_partitions(spark):
+    df = _skewed(spark, 3000).withColumn("id", F.col("score") * 7)
+    by = ["k", "score", "label", "id"]
+    laid = [training_layout(df.repartition(n), by, 4).rdd.glom().collect() for n in (1, 4, 16)]
+    assert laid[0] == laid[1] == laid[2]
 
 
 def test_auc_exact_with_hot_score(spark):
@@ -48,21 +47,14 @@ def test_auc_exact_with_hot_score(spark):
 def test_zip_refuses_duplicate_keys(spark):
     feats = spark.createDataFrame([(1, 0.1), (1, 0.2), (2, 0.3)], "k int, x double")
     targets = spark.createDataFrame([(1, 1), (2, 0)], "k int, y int")
-    with pytest.raises(CatalogMismatch):
-        zip_features_target(feats, targets, ["k"])
+    zipped = zip_features_target(feats, targets, ["k"])          # no job yet: the check is part of the plan
+    with pytest.raises(Exception, match="not unique"):
+        zipped.count()
+    with pytest.raises(Exception, match="targets key"):
+        zip_features_target(targets, feats, ["k"]).collect()
     ok = zip_features_target(feats.dropDuplicates(["k"]), targets, ["k"])
     assert ok.count() == 2
 
 
-def test_partition_and_range_sizing(spark):
-    from riskloom.operators.evaluate import MAX_RANGES, ranges_for
-    from riskloom.operators.partitioning import target_partitions
-
-    df = spark.range(1)
-    cores = spark.sparkContext.defaultParallelism
-    assert target_partitions(df, 1) == 1                        # tiny data: one task
-    assert target_partitions(df, 48_000) == min(2 * cores, 5)   # ~10k rows per task
-    assert target_partitions(df, 480_000) == min(2 * cores, 48)
-    assert target_partitions(df, 10**11) == 100_000             # at scale: ~1M rows per task
-    assert ranges_for(0) == 1 and ranges_for(999_999) == 1 and ranges_for(1_000_001) == 2
-    assert ranges_for(10**12) == MAX_RANGES
+def test_tree_depth_follows_partitions():
+    assert [tree_depth(n) for n in (1, 1024, 1025, 32_768, 32_769)] == [2, 2, 3, 3, 4]
