@@ -74,7 +74,8 @@ def test_tree_finds_every_pair_within_the_bound():
     base = rng.integers(0, 6, (12, J.COORDINATES))
     v = np.clip(base[rng.integers(0, 12, 400)] + rng.integers(-1, 2, (400, J.COORDINATES)) * (rng.random((400, J.COORDINATES)) < 0.1), 0, None)
     n, comp = v.sum(axis=1), rng.integers(0, 40, 400)
-    i, j = J.RTree(v, n, comp, 85).pairs()
+    i, j, bound = J.RTree(v, n, comp, 85).pairs()
+    assert bound.tolist() == np.minimum(v[i], v[j]).sum(axis=1).tolist()
     got = {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist())}
     want = {(a, b) for a in range(400) for b in range(a + 1, 400) if comp[a] != comp[b]
             and 185 * int(np.minimum(v[a], v[b]).sum()) >= 85 * int(n[a] + n[b])}
