@@ -26,7 +26,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 LONGEST_WORD = 32
 #: EM rounds, and the count added to every piece of every language.
 ROUNDS, PRIOR_COUNT = 2, 0.1
-#: Words whose likelihoods a task remembers, and distinct words it counts before it hands them on.
+#: Tokens whose likelihoods a task remembers, and distinct tokens it counts before it hands them on.
 REMEMBERED, COUNTED = 200_000, 200_000
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -38,32 +38,78 @@ def read_vocabulary(path: str) -> list[bytes]:
         return [base64.b64decode(line.split()[0]) for line in lines if line.strip()]
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-case runs of letters with a leading space, as UTF-8; none if the text has no letter."""
-    if not text or not any(map(str.isalpha, text)):
-        return []
-    return [b" " + w.encode() for w in WORD.findall(text.lower())]
+def tokens_of(text: str | None) -> list[str]:
+    """Lower-case parts between white space; their words are found once for each distinct token."""
+    return text.lower().split() if text else []
+
+
+def words_of(token: str) -> list[str]:
+    """Runs of letters in a token; none if it has no letter."""
+    return [w for w in WORD.findall(token) if any(map(str.isalpha, w))]
+
+
+def spelled(words: Sequence[str]) -> list[bytes]:
+    """The words as the vocabulary spells them: UTF-8 behind a space."""
+    return [b" " + w.encode() for w in words]
 
 
 class Lattice:
-    """Forward and backward sums over all segmentations of words into pieces."""
+    """Forward and backward sums over all segmentations of words into pieces.
+
+    Words of one length are handled together.  Pieces are found by a rolling hash of the
+    bytes, in an open hash table (linear probing) of the pieces' hashes.
+    """
 
     def __init__(self, vocabulary: Sequence[bytes]):
-        self.ids = {p: i for i, p in enumerate(vocabulary) if len(p) <= LONGEST_WORD}
-        self.reach = max(map(len, self.ids), default=1)
+        self.size = len(vocabulary)
+        by_length = defaultdict(list)
+        for i, p in enumerate(vocabulary):
+            if 0 < len(p) <= LONGEST_WORD:
+                by_length[len(p)].append(i)
+        self.reach = max(by_length, default=1)
+        self.bits = max(4, (8 * sum(map(len, by_length.values()))).bit_length())
+        self.hashes, self.ids = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32)
+        self.probes = 1
+        for n, own in by_length.items():
+            letters = np.frombuffer(b"".join([vocabulary[i] for i in own]), np.uint8).reshape(-1, n).astype(np.uint64)
+            h = np.zeros(len(own), np.uint64)
+            for k in range(n):
+                h = self._roll(h, letters[:, k])
+            for i, slot, value in zip(own, self._slot(h).tolist(), h):
+                probe = 1
+                while self.ids[slot] >= 0 and self.hashes[slot] != value:
+                    slot, probe = (slot + 1) % len(self.ids), probe + 1
+                self.hashes[slot], self.ids[slot] = value, i
+                self.probes = max(self.probes, probe)
+
+    @staticmethod
+    def _roll(h: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        return (h + byte + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return ((h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Piece of each hash, -1 where there is none."""
+        slot, out = self._slot(h), np.full(len(h), -1, np.int32)
+        for k in range(self.probes):
+            at = (slot + k) & ((1 << self.bits) - 1)
+            out = np.where(self.hashes[at] == h, self.ids[at], out)
+        return out
 
     def grouped(self, words: Sequence[bytes]) -> Iterator[tuple[np.ndarray, dict[tuple[int, int], np.ndarray]]]:
         """By length: the indexes of words, and for each span of bytes the words' piece (-1: not a piece)."""
         by_length = defaultdict(list)
         for i, w in enumerate(words):
             by_length[len(w)].append(i)
-        find = self.ids.get
         for n, at in by_length.items():
-            own = [words[i] for i in at]
+            letters = np.frombuffer(b"".join([words[i] for i in at]), np.uint8).reshape(-1, n).astype(np.uint64)
             spans = {}
             for s in range(n):
+                h = np.zeros(len(at), np.uint64)
                 for e in range(s + 1, min(n, s + self.reach) + 1):
-                    ids = np.fromiter((find(w[s:e], -1) for w in own), np.int32, len(own))
+                    h = self._roll(h, letters[:, e - 1])
+                    ids = self.find(h)
                     if (ids >= 0).any():
                         spans[s, e] = ids
             yield np.array(at), spans
@@ -81,6 +127,8 @@ class Lattice:
     def log_likelihoods(self, words: Sequence[bytes], p: np.ndarray) -> np.ndarray:
         """(words, languages) log-probabilities, each summed over all segmentations."""
         parts = [w[k:k + LONGEST_WORD] for w in words for k in range(0, len(w), LONGEST_WORD)]
+        if not parts:
+            return np.zeros((0, p.shape[1]))
         out = np.empty((len(parts), p.shape[1]))
         for at, spans in self.grouped(parts):
             out[at] = np.log(np.maximum(self.forward(len(parts[at[0]]), spans, p)[-1], 1e-300))
@@ -117,9 +165,13 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, held = defaultdict(Counter), 0
 
     def flush():
-        for lang, words in counts.items():
+        for lang, tokens in counts.items():
+            words = Counter()
+            for token, n in tokens.items():
+                for w in words_of(token):
+                    words[w] += n
             if words:
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array(list(words), pa.binary()),
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array(list(words), pa.string()),
                                                   pa.array(list(words.values()), pa.int64())], names=["lang", "word", "n"])
         counts.clear()
 
@@ -127,7 +179,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             own = counts[lang]
             held -= len(own)
-            own.update(words_of(text))
+            own.update(tokens_of(text))
             held += len(own)
         if held > COUNTED:
             yield from flush()
@@ -142,7 +194,7 @@ class PieceModel:
         self.languages, self.p, self.log_prior = languages, p, log_prior
 
 
-def fit_pieces(train: DataFrame, vocabulary: Sequence[bytes], scratch: Scratch, rounds: int = ROUNDS) -> PieceModel:
+def fit_pieces(train: DataFrame, lattice: Lattice, scratch: Scratch, rounds: int = ROUNDS) -> PieceModel:
     """Piece probabilities from all rows of ``train`` (lang, text); lang is not null.
 
     What reaches the driver is the model: pieces of the vocabulary times languages.
@@ -151,21 +203,21 @@ def fit_pieces(train: DataFrame, vocabulary: Sequence[bytes], scratch: Scratch,
     shares = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).toLocalIterator()}
     languages = sorted(shares)
     if not languages:
-        return PieceModel([], np.zeros((len(vocabulary) + 1, 0)), np.zeros(0))
-    words = train.mapInArrow(_count_words, "lang string, word binary, n long")
+        return PieceModel([], np.zeros((lattice.size + 1, 0)), np.zeros(0))
+    words = train.mapInArrow(_count_words, "lang string, word string, n long")
     words = scratch.table(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "word-counts")
-    number, size = {x: i for i, x in enumerate(languages)}, len(vocabulary)
+    number, size = {x: i for i, x in enumerate(languages)}, lattice.size
     p = np.full((size + 1, len(languages)), 1 / size)
     p[size] = 0
     for _ in range(rounds):
-        given = spark.sparkContext.broadcast((list(vocabulary), p, number))
+        given = spark.sparkContext.broadcast((lattice, p, number))
 
         def expect(batches):
-            pieces_, prob, numbers = given.value
-            lattice, total = Lattice(pieces_), 0
+            own, prob, numbers = given.value
+            total = 0
             for batch in batches:
                 lang = np.array([numbers[x] for x in batch.column("lang").to_pylist()], np.int64)
-                total = total + lattice.expected_counts(batch.column("word").to_pylist(), lang,
+                total = total + own.expected_counts(spelled(batch.column("word").to_pylist()), lang,
                                                         batch.column("n").to_numpy(), prob)
             if not np.isscalar(total):
                 at, lang = np.nonzero(total)
@@ -181,45 +233,60 @@ def fit_pieces(train: DataFrame, vocabulary: Sequence[bytes], scratch: Scratch,
     return PieceModel(languages, p, np.log(prior / prior.sum()))
 
 
-def score_languages(docs: DataFrame, model: PieceModel, vocabulary: Sequence[bytes], text_col: str = "text") -> DataFrame:
+def _token_rows(tokens: Sequence[str], lattice: Lattice, p: np.ndarray) -> np.ndarray:
+    """For each token the summed log-likelihoods of its words, and their number."""
+    own = [words_of(t) for t in tokens]
+    words = list({w for ws in own for w in ws})
+    row = dict(zip(words, range(len(words))))
+    log_p = lattice.log_likelihoods(spelled(words), p)
+    out = np.zeros((len(tokens), p.shape[1] + 1))
+    owner = np.repeat(np.arange(len(own)), [len(ws) for ws in own])
+    np.add.at(out[:, :-1], owner, log_p[[row[w] for ws in own for w in ws]] if words else 0)
+    out[:, -1] = [len(ws) for ws in own]
+    return out
+
+
+def score_languages(docs: DataFrame, model: PieceModel, lattice: Lattice, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (the posterior of lang_pred) behind its own columns.
 
     ``docs`` must not have columns of these names.
     """
     spark = docs.sparkSession
-    given = spark.sparkContext.broadcast((list(vocabulary), model))
+    given = spark.sparkContext.broadcast((lattice, model))
     schema = with_fields(docs.schema, "lang_pred string, score double")
 
     def score(batches):
-        vocab, m = given.value
-        lattice, known = Lattice(vocab), {}
-        table = np.empty((0, len(m.languages)))
+        own, m = given.value
+        width = len(m.languages)
+        known: dict[str, int] = {}  # token: row of log-likelihoods, the last column counts its words
+        table = np.empty((0, width + 1))
         for batch in pieces(batches, 4 << 20):
-            texts = [words_of(t) if m.languages else [] for t in batch.column(text_col).to_pylist()]
+            texts = [tokens_of(t) if width else [] for t in batch.column(text_col).to_pylist()]
             if len(known) > REMEMBERED:
                 known, table = {}, table[:0]
-            new = list({w for t in texts for w in t} - known.keys())
+            new = list({t for tokens in texts for t in tokens} - known.keys())
             if new:
                 known.update(zip(new, range(len(table), len(table) + len(new))))
-                table = np.vstack([table, lattice.log_likelihoods(new, m.p)])
+                table = np.vstack([table, _token_rows(new, own, m.p)])
             lang, value = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            for i, t in enumerate(texts):
-                if t:
-                    at = np.fromiter(map(known.__getitem__, t), np.int64, len(t))
-                    log_p = table[at].sum(axis=0) + m.log_prior
-                    odds = np.exp(log_p - log_p.max())
-                    best = int(odds.argmax())
-                    lang[i], value[i] = m.languages[best], odds[best] / odds.sum()
+            for i, tokens in enumerate(texts):
+                if tokens:
+                    row = table[np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))].sum(axis=0)
+                    if row[width]:
+                        log_p = row[:width] + m.log_prior
+                        odds = np.exp(log_p - log_p.max())
+                        best = int(odds.argmax())
+                        lang[i], value[i] = m.languages[best], odds[best] / odds.sum()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(value)],
                                              names=[*batch.schema.names, "lang_pred", "score"])
 
     return docs.mapInArrow(score, schema)
 
 
-def _fitted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, vocab: Sequence[bytes]) -> PieceModel:
+def _fitted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, lattice: Lattice) -> PieceModel:
     train = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    return fit_pieces(train, vocab, Scratch(docs.sparkSession, "language-id"))
+    return fit_pieces(train, lattice, Scratch(docs.sparkSession, "language-id"))
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -231,19 +298,19 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     there is nothing to learn from; an empty table gives no rows.  Ties go to the language
     first in order.
     """
-    vocab = read_vocabulary(vocabulary)
-    model = _fitted(docs, id_col, text_col, lang_col, vocab)
+    lattice = Lattice(read_vocabulary(vocabulary))
+    model = _fitted(docs, id_col, text_col, lang_col, lattice)
     rows = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    scored = score_languages(rows, model, vocab)
+    scored = score_languages(rows, model, lattice)
     return scored.select(F.col("id").alias(id_col), "held_out", "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, least: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     vocabulary: str = VOCABULARY) -> DataFrame:
     """The rows of ``docs``, all columns, with a predicted language whose score is at least ``least``."""
-    vocab = read_vocabulary(vocabulary)
-    model = _fitted(docs, id_col, text_col, lang_col, vocab)
+    lattice = Lattice(read_vocabulary(vocabulary))
+    model = _fitted(docs, id_col, text_col, lang_col, lattice)
     names = [f"column {i}" for i in range(len(docs.columns))]
-    scored = score_languages(docs.toDF(*names), model, vocab, names[docs.columns.index(text_col)])
+    scored = score_languages(docs.toDF(*names), model, lattice, names[docs.columns.index(text_col)])
     kept = scored.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
     return kept.select(*names).toDF(*docs.columns)
