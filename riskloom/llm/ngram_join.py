@@ -7,8 +7,9 @@ the coordinates' minima - for a tree node, the minima with its upper corner.
 Sets meet by group content: two sets that link differ in at most ``d`` shingles, so of any
 ``d + 1`` groups one holds the same shingles in both, and the first ``d + 1`` non-empty
 groups in a common order share one.  Sets that meet are first held against the smallest of
-their cell; what is linked by then needs no further look.  Cells in which unlinked sets
-remain are searched by R-tree, and every surviving pair is verified on the shingles.
+their cells, a pair or two for each set; what is linked by then needs no further look.  Cells
+in which unlinked sets remain are searched by R-tree, and every surviving pair is verified
+on the shingles.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from riskloom.llm.components import connected_components
 
 SHINGLE, PERCENT = 4, 85
 #: Coordinates of a count vector, entries of a tree node, and sets of a cell searched in one piece.
-COORDINATES, FAN_OUT, CELL = 64, 16, 4096
+COORDINATES, FAN_OUT, CELL = 256, 16, 4096
+#: Rounds in which every set tries one candidate, and bits of the map that tells which texts to read again.
+BEST_FIRST, MAP_BITS = 2, 23
 #: Sets of fewer than 2**SMALL shingles are grouped so finely that nearly every shingle is a group.
 SMALL, FINE_BITS = 7, 16
 #: Distinct words whose hashes a task remembers.
@@ -116,8 +119,8 @@ class RTree:
             self.levels.append((np.maximum.reduceat(upper, at, axis=0), np.minimum.reduceat(low, at),
                                 np.maximum.reduceat(high, at), np.where(first == last, first, -1)))
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """(i, j) of different components whose overlap may be enough, i before j in the tree's order."""
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, j, bound) of different components whose overlap may be enough, i before j in the tree's order."""
         found = []
         for block in range(0, len(self.sizes), 256):
             q = np.arange(block, min(block + 256, len(self.sizes)))
@@ -130,24 +133,33 @@ class RTree:
                 # a later entry has at least the size of an earlier one
                 ok = ((node + 1) * span > who + 1) & (low[node] * self.percent <= size * 100) & (comp[node] != self.component[who])
                 who, node = who[ok], node[ok]
-                keep = [np.minimum(self.vectors[who[k:k + 65536]], upper[node[k:k + 65536]]).sum(axis=1)
-                        >= _needed(self.sizes[who[k:k + 65536]], np.maximum(low[node[k:k + 65536]], self.sizes[who[k:k + 65536]]), self.percent)
-                        for k in range(0, len(who), 65536)]
-                keep = np.concatenate(keep) if keep else np.zeros(0, bool)
-                who, node = who[keep], node[keep]
+                bound = [np.minimum(self.vectors[who[k:k + 16384]], upper[node[k:k + 16384]]).sum(axis=1, dtype=np.int64)
+                         for k in range(0, len(who), 16384)]
+                bound = np.concatenate(bound) if bound else np.zeros(0, np.int64)
+                keep = bound >= _needed(self.sizes[who], np.maximum(low[node], self.sizes[who]), self.percent)
+                who, node, bound = who[keep], node[keep], bound[keep]
                 if depth:
                     below = len(self.levels[depth - 1][1])
                     who, node = np.repeat(who, FAN_OUT), (node[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
                     ok = node < below
                     who, node = who[ok], node[ok]
             later = node > who
-            found.append((who[later], node[later]))
-        i, j = np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
-        return self.order[i], self.order[j]
+            found.append((who[later], node[later], bound[later]))
+        i, j, bound = (np.concatenate(x) for x in zip(*found))
+        return self.order[i], self.order[j], bound
+
+
+def _vector(u: np.ndarray) -> bytes:
+    """Counts of a set's shingles by group, two bytes each, or four if the set is that large."""
+    counts = np.bincount((u & np.uint64(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES)
+    return counts.astype("<u2" if len(u) < 1 << 16 else "<u4").tobytes()
 
 
 def _vectors(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, COORDINATES)
+    raw = column.to_pylist()
+    if all(len(v) == 2 * COORDINATES for v in raw):
+        return np.frombuffer(b"".join(raw), "<u2").reshape(-1, COORDINATES)
+    return np.stack([np.frombuffer(v, "<u2" if len(v) == 2 * COORDINATES else "<u4").astype(np.uint32) for v in raw])
 
 
 class NgramJaccard:
@@ -168,11 +180,31 @@ class NgramJaccard:
         keys = nodes.select("node", F.explode("keys").alias("key"))
         cells = keys.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("held")).filter("held > 1")
         cells = table(keys.join(cells, "key"), "cells")
-        stars = self._links(cells.filter("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-        joined = connected_components(stars, self.scratch, "stars-joined")
-        rest = self._links(self._unlinked(cells, joined), "rest")
-        every = stars.unionByName(rest)
-        component = connected_components(every, self.scratch, "joined")
+        # one pair for each set: with the smallest set of all its cells
+        others = cells.filter("node != center")
+        tried = table(others.groupBy(F.col("node").alias("b")).agg(F.min("center").alias("a")), "first-pairs")
+        links = self._links(tried, "first")
+        component = connected_components(links, self.scratch, "first-joined")
+        # another for each component of a cell's smallest set that a set is not in yet
+        placed = self._placed(others.select("key", "node", "center"), component, "center", "at_center")
+        placed = self._placed(placed, component, "node", "at_node").filter("at_node != at_center")
+        more = placed.groupBy(F.col("node").alias("b"), "at_center").agg(F.min("center").alias("a")).select("a", "b")
+        more = table(more.join(tried, ["a", "b"], "left_anti"), "second-pairs")
+        links = links.unionByName(self._links(more, "second"))
+        component = connected_components(links, self.scratch, "second-joined")
+        tried = tried.unionByName(more)
+        # where sets of several components share a cell, each tries its best candidate by the tree before all are listed
+        for turn in range(BEST_FIRST):
+            best = self._unlinked(cells, component, f"best-{turn}", best=True).join(tried, ["a", "b"], "left_anti")
+            best = table(best, f"best-pairs-{turn}")
+            found = self._links(best, f"best-{turn}")
+            links, tried = links.unionByName(found), tried.unionByName(best)
+            if found.isEmpty():
+                break
+            component = connected_components(links, self.scratch, f"best-joined-{turn}")
+        rest = self._unlinked(cells, component, "rest").join(tried, ["a", "b"], "left_anti")
+        links = links.unionByName(self._links(rest, "rest"))
+        component = connected_components(links, self.scratch, "joined")
         nodes = self.nodes.select("node", "digest", "rep_id").join(component, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
         least = nodes.groupBy("component").agg(F.min("rep_id").alias("component_id"))
@@ -189,8 +221,7 @@ class NgramJaccard:
                 for u in shingle_sets(text_bytes(batch.column("text")), known):
                     n.append(len(u))
                     digest.append(xxhash.xxh128_digest(u.tobytes()) if len(u) else None)
-                    vector.append(np.bincount((u & np.uint64(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES)
-                                  .astype("<u4").tobytes() if len(u) else None)
+                    vector.append(_vector(u) if len(u) else None)
                     keys.append(cell_keys(u, percent).view(np.int64) if len(u) else None)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(vector, pa.binary()),
@@ -198,6 +229,12 @@ class NgramJaccard:
 
         return self.docs.mapInArrow(describe, f"id {kind}, n long, digest binary, vector binary, keys array<long>")
 
+    @staticmethod
+    def _placed(rows: DataFrame, component: DataFrame, node: str, name: str) -> DataFrame:
+        """``rows`` with the component of their column ``node`` (itself if it has no link yet)."""
+        known = component.select(F.col("node").alias(node), F.col("component").alias(name))
+        return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
+
     def _bounded(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose summed coordinate minima allow the overlap that a link needs."""
         percent = self.percent
@@ -207,7 +244,7 @@ class NgramJaccard:
 
         def bound(batches):
             for batch in pieces(batches):
-                most = np.minimum(_vectors(batch.column("v_a")), _vectors(batch.column("v_b"))).sum(axis=1)
+                most = np.minimum(_vectors(batch.column("v_a")), _vectors(batch.column("v_b"))).sum(axis=1, dtype=np.int64)
                 need = _needed(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent)
                 yield batch.select(["a", "b"]).filter(pa.array(most >= need))
 
@@ -218,19 +255,31 @@ class NgramJaccard:
         percent = self.percent
         pairs = self.scratch.table(self._bounded(pairs), f"{name}-bounded")
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = wanted.join(self.nodes.select("node", "digest", "rep_id"), "node")
-        texts = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("rep_id"))).select("node", "digest", "text")
+        wanted = self.scratch.table(wanted.join(self.nodes.select("node", "digest", "rep_id"), "node"), f"{name}-wanted")
+        # the map (1 MB, whatever the corpus) spares an exchange of all texts; what it lets through in vain, the join drops
+        place = F.xxhash64("rep_id").bitwiseAND((1 << MAP_BITS) - 1)
+        words = wanted.select(F.shiftright(place, 6).cast("int").alias("word"), F.expr("1L").alias("one"), place.alias("place"))
+        words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(one, cast(place & 63 as int))")).alias("bits"))
+        bits = np.zeros(1 << (MAP_BITS - 6), np.int64)
+        for row in words.toLocalIterator():
+            bits[row["word"]] = row["bits"]
+        shared = self.docs.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
 
         def shingles(batches):
-            known = _WordHash()
+            known, bits = _WordHash(), shared.value
             for batch in pieces(batches, 2 << 20):
-                found = [u.tobytes() for u in shingle_sets(text_bytes(batch.column("text")), known)]
-                same = [xxhash.xxh128_digest(u) == d for u, d in zip(found, batch.column("digest").to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())],
-                                                 names=["node", "shingles"]).filter(pa.array(same, pa.bool_()))
-
-        sets = texts.mapInArrow(shingles, "node long, shingles binary").dropDuplicates(["node"])
-        sets = self.scratch.table(sets, f"{name}-shingles")
+                h = batch.column("h").to_numpy().astype(np.int64)
+                use = (bits[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1
+                texts = batch.column("text").filter(pa.array(use))
+                found = [u.tobytes() for u in shingle_sets(text_bytes(texts), known)] if len(texts) else []
+                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh128_digest(u) for u in found], pa.binary()),
+                                                  pa.array(found, pa.binary())], names=["digest", "shingles"])
+
+        place = F.xxhash64("id").bitwiseAND((1 << MAP_BITS) - 1).alias("h")
+        sets = self.docs.select(place, "text").mapInArrow(shingles, "digest binary, shingles binary")
+        # copies have the same shingles: one of them is enough
+        sets = wanted.select("node", "digest").join(sets.groupBy("digest").agg(F.first("shingles").alias("shingles")), "digest")
+        sets = self.scratch.table(sets.select("node", "shingles"), f"{name}-shingles")
         for side in "ba":
             pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s_{side}")), side)
 
@@ -244,11 +293,10 @@ class NgramJaccard:
 
         return self.scratch.table(pairs.select("a", "b", "s_a", "s_b").mapInArrow(verify, "a long, b long"), name)
 
-    def _unlinked(self, cells: DataFrame, joined: DataFrame) -> DataFrame:
-        """Pairs of different components that share a cell and survive its tree."""
+    def _unlinked(self, cells: DataFrame, joined: DataFrame, name: str, best: bool = False) -> DataFrame:
+        """(a, b) of different components that share a cell and survive its tree; for each b only the best if asked."""
         percent = self.percent
-        rows = cells.select("key", "node").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        rows = self.scratch.table(rows, "cells-joined")
+        rows = self.scratch.table(self._placed(cells.select("key", "node"), joined, "node", "component"), f"{name}-cells")
         mixed = rows.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("held"))
         mixed = mixed.filter("c0 != c1").select("key", F.ceil(F.col("held") / CELL).cast("int").alias("blocks"))
         rows = rows.join(mixed, "key").join(self.nodes.select("node", "n", "vector"), "node")
@@ -273,20 +321,36 @@ class NgramJaccard:
 
         def found(batch, ends):
             node, component, own = (batch.column(c).to_numpy() for c in ("node", "component", "own"))
-            n, v = batch.column("n").to_numpy(), _vectors(batch.column("vector")).astype(np.int64)
+            n, v = batch.column("n").to_numpy(), _vectors(batch.column("vector"))
             lo, hi = batch.column("lo").to_numpy(), batch.column("hi").to_numpy()
-            pairs = []
             for s, e in zip(ends, ends[1:]):
-                i, j = RTree(v[s:e], n[s:e], component[s:e], percent).pairs()
+                i, j, bound = RTree(v[s:e], n[s:e], component[s:e], percent).pairs()
                 i, j = i + s, j + s
                 if lo[s] != hi[s]:
                     across = own[i] != own[j]
-                    i, j = i[across], j[across]
-                pairs.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
-            pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-        return rows.mapInArrow(search, "a long, b long").distinct()
+                    i, j, bound = i[across], j[across], bound[across]
+                if len(i):
+                    yield grouped(np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), bound)
+
+        def grouped(a, b, bound):
+            """A row for each b: its candidates, or the one with the highest bound."""
+            order = np.lexsort((a, -bound, b))
+            a, b, bound = a[order], b[order], bound[order]
+            start = np.concatenate([[0], np.nonzero(np.diff(b))[0] + 1])
+            if best:
+                a, bound, ends = a[start], bound[start], np.arange(len(start) + 1)
+            else:
+                bound, ends = bound[start], np.append(start, len(a))
+            return pa.RecordBatch.from_arrays([pa.array(b[start]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(a)),
+                                               pa.array(bound)], names=["b", "a", "bound"])
+
+        found_ = rows.mapInArrow(search, "b long, a array<long>, bound long")
+        if best:
+            top = F.max(F.struct("bound", (-F.col("a")[0]).alias("a"))).alias("top")
+            return found_.groupBy("b").agg(top).select((-F.col("top.a")).alias("a"), "b")
+        # a pair shares many cells: candidates of a set are united before they become rows
+        lists = found_.groupBy("b").agg(F.array_distinct(F.flatten(F.collect_list("a"))).alias("a"))
+        return lists.select(F.explode("a").alias("a"), "b")
 
 
 def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -310,9 +374,12 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Where that id is repeated within its component, one of its rows stays.
     """
     join = NgramJaccard(docs, id_col, text_col, percent)
-    known = join.sets.filter("n > 0").select("id", "digest").distinct().join(join.classes, "digest")
-    first = known.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("best"))
-    first = first.select(F.col("best.id").alias("best id"), F.col("best.digest").alias("best digest"))
+    held = join.sets.filter("n > 0").groupBy("id", "digest").agg(F.count("*").alias("rows")).join(join.classes, "digest")
+    held = join.scratch.table(held, "held")
+    first = held.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("best"))
+    held = held.join(first, "component")
+    gone = held.filter(~(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))))
+    gone = gone.select(F.col("id").alias("gone id"), F.col("digest").alias("gone digest"))
     schema = with_fields(docs.schema, "`set digest` binary")
 
     def digests(batches):
@@ -323,6 +390,9 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=schema.names)
 
     rows = docs.mapInArrow(digests, schema)
-    kept = rows.join(first, rows[id_col].eqNullSafe(F.col("best id")) & (F.col("set digest") == F.col("best digest")), "left_semi")
-    kept = kept.dropDuplicates([id_col, "set digest"])
-    return kept.unionByName(rows.filter(F.col("set digest").isNull())).select(*docs.columns)
+    kept = rows.join(gone, rows[id_col].eqNullSafe(F.col("gone id")) & (F.col("set digest") == F.col("gone digest")), "left_anti")
+    if held.filter("rows > 1").isEmpty():
+        return kept.select(*docs.columns)
+    # repeated rows: one of each that has words
+    once = kept.filter(F.col("set digest").isNotNull()).dropDuplicates([id_col, "set digest"])
+    return once.unionByName(kept.filter(F.col("set digest").isNull())).select(*docs.columns)
