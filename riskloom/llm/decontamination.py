@@ -1,14 +1,15 @@
 """Benchmark decontamination with suffix arrays over the training texts.
 
 Every task turns its documents into shards: the words of a run of whole documents and their
-suffix array.  All suffixes of the benchmark items are then binary-searched in each shard,
-which gives each suffix's longest verbatim match and its locations; occurrences of windows
-(10 consecutive item words) are the prefixes of such matches.
+suffix array, into which all suffixes of the benchmark items are sorted.  The neighbours of a suffix
+give its longest verbatim match and its locations; occurrences of windows (10 consecutive
+item words) are the prefixes of such matches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,12 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_WORD_BYTES).split() if text else []
 
 
-def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(ids: np.ndarray, depth: int, levels: list | None = None) -> np.ndarray:
     """Positions of ``ids`` (positive ints) in the order of their suffixes' first ``depth`` words.
 
     Words are packed into one integer as far as they fit; groups of equal prefixes are then
     sorted again by the rank of what follows, doubling the compared length each time.
+    ``levels`` gets (length, rank of every position by that many words) of each doubling.
     """
     n = len(ids)
     bits = max(1, int(ids.max(initial=0)).bit_length())
@@ -47,6 +49,8 @@ def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
     first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     rank = np.empty(n + 1, np.int64)
     rank[order], rank[n] = first, -1  # the slot at which a suffix's group begins
+    if levels is not None:
+        levels.append((length, rank.astype(np.int32)))
     while length < depth:
         tied = ~new
         tied[:-1] |= ~new[1:]
@@ -62,41 +66,42 @@ def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
         new[slots] = fresh
         rank[at] = np.maximum.accumulate(np.where(fresh, slots, 0))
         length *= 2
+        if levels is not None:
+            levels.append((length, rank.astype(np.int32)))
     return order
 
 
 class Benchmark:
-    """The items' words, all their suffixes, and which suffix begins a window."""
+    """The items' words as one flat array (0 behind each item), all their suffixes, and which suffix begins a window."""
 
     def __init__(self, items: Iterable[tuple[str, bytes | None]], window: int):
         self.items, self.vocabulary = [], {}
-        starts, owner, whole = [], [], []
+        ids, lengths = [], []
         for item, text in items:
             words = words_of(text)
             if not words:
                 continue
             self.items.append(item)
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
-            whole.append(ids)
-            starts += range(len(words))
-            owner += [len(self.items) - 1] * len(words)
-        self.longest = max(map(len, whole), default=0)
-        self.suffix_item, self.suffix_start = np.array(owner, np.int64), np.array(starts, np.int64)
-        lengths = np.array([len(x) for x in whole], np.int64)
-        self.suffix_length = lengths[self.suffix_item] - self.suffix_start if owner else np.zeros(0, np.int64)
-        self.rows = np.zeros((len(owner), self.longest), np.int64)  # a suffix's words, then 0
-        row = 0
-        for ids in whole:
-            for k in range(len(ids)):
-                self.rows[row, :len(ids) - k] = ids[k:]
-                row += 1
+            ids += [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
+            ids.append(0)
+            lengths.append(len(words))
+        self.ids, lengths = np.array(ids, np.int64), np.array(lengths, np.int64)
+        self.longest = int(lengths.max(initial=0))
+        self.suffix_at = np.nonzero(self.ids)[0]
+        self.suffix_item, whole = np.repeat(np.arange(len(lengths)), lengths), np.repeat(lengths, lengths)
+        self.suffix_start = np.arange(len(whole)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.suffix_length = whole - self.suffix_start
         # a window begins at a suffix of at least `window` words, or at the start of a shorter item
-        wanted = np.minimum(window, lengths[self.suffix_item]) if owner else np.zeros(0, np.int64)
+        wanted = np.minimum(window, whole)
         self.window_length = np.where(self.suffix_length >= wanted, wanted, 0)
 
 
 class Shard:
-    """Words of whole documents, with 0 between them, and the suffix array to the depth of the longest item."""
+    """Words of whole documents, with 0 between them, and their suffix array to the depth of the longest item.
+
+    The items' suffixes are sorted in with the documents', so each has its place in the array;
+    common words are read off the ranks of the doublings.  All arrays grow with the words only.
+    """
 
     def __init__(self, documents: Sequence[list[bytes]], bench: Benchmark):
         number = dict(bench.vocabulary)
@@ -104,60 +109,62 @@ class Shard:
         for words in documents:
             ids += [number.setdefault(w, len(number) + 1) for w in words]
             ids.append(0)
-        self.ids = np.array(ids, np.int64)
+        self.n = len(ids)
         self.starts = np.cumsum([0, *(len(w) + 1 for w in documents)])
-        self.order = suffix_array(self.ids, bench.longest)
-        self.padded = np.concatenate([self.ids, np.zeros(bench.longest + 1, np.int64)])
-
-    def compare(self, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Common words of suffix number ``at`` with each row, and whether the suffix sorts before it."""
-        texts = self.padded[self.order[at][:, None] + np.arange(rows.shape[1])]
-        differ = texts != rows
-        common = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
-        last = np.minimum(common, rows.shape[1] - 1)[:, None]
-        return common, (np.take_along_axis(texts, last, 1) < np.take_along_axis(rows, last, 1))[:, 0]
-
-    def search(self, rows: np.ndarray, after: bool = False) -> np.ndarray:
-        """For each row the number of suffixes sorted before it; or, with ``after``, before or beginning with it."""
-        low, high = np.zeros(len(rows), np.int64), np.full(len(rows), len(self.order))
-        while (open_ := low < high).any():
-            k = np.nonzero(open_)[0]
-            mid = (low[k] + high[k]) // 2
-            common, less = self.compare(mid, rows[k])
-            if after:
-                less |= common == rows.shape[1]
-            low[k] = np.where(less, mid + 1, low[k])
-            high[k] = np.where(less, high[k], mid)
-        return low
+        self.ids = np.concatenate([np.array(ids, np.int64), bench.ids])
+        self.levels = []
+        self.sorted = suffix_array(self.ids, bench.longest, self.levels)
+        own = self.sorted < self.n
+        self.order, self.slots = self.sorted[own], np.nonzero(own)[0]
+        place = np.empty(len(bench.ids), np.int64)
+        place[self.sorted[~own] - self.n] = np.nonzero(~own)[0]
+        self.item_slots = place[bench.suffix_at]
+        self.padded = np.append(self.ids, -1)
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Common words of the suffixes at two positions each, exact up to the depth of the array."""
+        n, end = np.zeros(len(a), np.int64), len(self.ids)
+        for length, rank in reversed(self.levels):
+            n += length * (rank[np.minimum(a + n, end)] == rank[np.minimum(b + n, end)])
+        equal = np.ones(len(a), bool)
+        for _ in range(self.levels[0][0] - 1):
+            equal &= self.padded[np.minimum(a + n, end)] == self.padded[np.minimum(b + n, end)]
+            n += equal
+        return n
 
     def longest_matches(self, bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
         """For every suffix its longest verbatim match in words, and a location of it (document words)."""
-        if not len(bench.rows) or not len(self.order):
-            return np.zeros(len(bench.rows), np.int64), np.zeros(len(bench.rows), np.int64)
-        at = self.search(bench.rows)
+        if not len(bench.suffix_at) or not self.n:
+            return np.zeros(len(bench.suffix_at), np.int64), np.zeros(len(bench.suffix_at), np.int64)
+        at = np.searchsorted(self.slots, self.item_slots)
         length, where = np.full(len(at), -1), np.zeros(len(at), np.int64)
-        for slot in (np.maximum(at - 1, 0), np.minimum(at, len(self.order) - 1)):
-            common, _ = self.compare(slot, bench.rows)
-            common = np.minimum(common, bench.suffix_length)
+        for slot in (np.maximum(at - 1, 0), np.minimum(at, self.n - 1)):
+            common = np.minimum(self.common(bench.suffix_at + self.n, self.order[slot]), bench.suffix_length)
             better = common > length
             length[better], where[better] = common[better], self.order[slot][better]
         return length, where
 
     def occurrences(self, bench: Benchmark, longest: np.ndarray):
-        """(position, length, suffix) of every place at which a window occurs."""
+        """(positions, length, suffixes) of every window that occurs."""
         found = np.nonzero((bench.window_length > 0) & (longest >= bench.window_length))[0]
+        if not len(found):
+            return
+        shared = self.common(self.sorted[:-1], self.sorted[1:])
         for length in np.unique(bench.window_length[found]):
-            own = found[bench.window_length[found] == length]
-            rows, back = np.unique(bench.rows[own, :length], axis=0, return_inverse=True)
-            low, high = self.search(rows), self.search(rows, after=True)
-            for k in range(len(rows)):
-                yield np.sort(self.order[low[k]:high[k]]), int(length), own[back.ravel() == k]
+            group = np.concatenate([[0], np.cumsum(shared < length)])  # of suffixes that begin with the same words
+            suffixes = found[bench.window_length[found] == length]
+            suffixes = suffixes[np.argsort(group[self.item_slots[suffixes]], kind="stable")]
+            of_suffix, of_word = group[self.item_slots[suffixes]], group[self.slots]
+            for g in np.unique(of_suffix):
+                low, high = np.searchsorted(of_word, (g, g + 1))
+                first, last = np.searchsorted(of_suffix, (g, g + 1))
+                yield np.sort(self.order[low:high]), int(length), suffixes[first:last]
 
 
 def _hits(shard: Shard, bench: Benchmark, n_docs: int):
     """By document with a hit: (item numbers, start and end of the merged hit stretches, longest match, where)."""
     longest, where = shard.longest_matches(bench)
-    covered = np.zeros(len(shard.ids) + 1, np.int64)
+    covered = np.zeros(shard.n + 1, np.int64)
     items = [set() for _ in range(n_docs)]
     for at, length, suffixes in shard.occurrences(bench, longest):
         np.add.at(covered, at, 1)
@@ -222,8 +229,9 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
 def _search(rows: DataFrame, kept: list[str], items: DataFrame, window: int, block_bytes: int) -> DataFrame:
     """The ``kept`` columns of ``rows`` with n_words, items and spans."""
     spark = rows.sparkSession
-    blocks = list(_blocks(items, block_bytes)) or [[]]
-    if len(blocks) > 1:  # a row number, fixed by the write, under which the blocks' findings meet
+    blocks = _blocks(items, block_bytes)  # one at a time; whether there is a second one decides the plan
+    first, second = next(blocks, []), next(blocks, None)
+    if second is not None:  # a row number, fixed by the write, under which the blocks' findings meet
         rows = Scratch(spark, "decontamination").table(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
     carried = [c for c in rows.columns if c in kept or c == "row"]
     schema = with_fields(rows.select(*carried).schema,
@@ -246,13 +254,13 @@ def _search(rows: DataFrame, kept: list[str], items: DataFrame, window: int, blo
 
         return rows.mapInArrow(search, schema)
 
-    found = searcher(blocks[0])
-    if len(blocks) == 1:
+    found = searcher(first)
+    if second is None:
         return found
     # only rows with findings meet; texts stay where they are
     numbers = ["row", "items", "spans"]
     parts = found.select(*numbers)
-    for block in blocks[1:]:
+    for block in chain([second], blocks):
         parts = parts.unionByName(searcher(block).select(*numbers))
     parts = parts.filter(F.size("items") > 0).groupBy("row").agg(
         F.array_sort(F.flatten(F.collect_list("items"))).alias("items"),
@@ -275,7 +283,8 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     schema = "item string, start long, length long, position long"
     kind = rows.schema["id"].dataType.simpleString()
     parts = []
-    for block in list(_blocks(items, block_bytes)) or [[]]:
+    blocks = _blocks(items, block_bytes)
+    for block in chain([next(blocks, [])], blocks):
         given = spark.sparkContext.broadcast(Benchmark(block, 1))
 
         def match(batches, given=given):

@@ -1,0 +1,31 @@
+"""op2: a benchmark item of 100,000 words needs memory by its words only."""
+
+import pickle
+import random
+
+from pyspark.sql import types as T
+
+from riskloom.llm import decontamination as D
+
+ITEMS = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType())])
+N = 100_000
+
+
+def test_item_of_100000_words(spark, make_docs):
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(20_000)}" for _ in range(N)]
+    text = " ".join(words)
+    assert len(pickle.dumps(D.Benchmark([("1", text.encode())], 10))) < 10 << 20
+    own = lambda a, b: " ".join(words[a:b])
+    same = "the " * 30_000
+    docs = [(1, f"x {text} y"), (2, f"x {own(500, 510)} y"), (3, f"x {own(500, 509)} y"), (4, f"{own(70_000, 70_200)} x {own(9, 30)}"),
+            (5, "other words"), (6, None), (7, "x the the the y"), (8, "a " + "the " * 40_000)]
+    bench = spark.createDataFrame([(1, text), (2, "the the the"), (3, None), (4, same)], ITEMS)
+    got = {r.doc_id: r for r in D.find_contamination(make_docs(docs), bench).collect()}
+    assert {i: [tuple(s) for s in r.spans] for i, r in got.items()} == {
+        1: [(1, N + 1)], 2: [(1, 11)], 3: [], 4: [(0, 200), (201, 222)], 5: [], 6: [], 7: [(1, 4)], 8: [(1, 40_001)]}
+    assert {i: r.items for i, r in got.items()} == {1: ["1"], 2: ["1"], 3: [], 4: ["1"], 5: [], 6: [], 7: ["2"], 8: ["2", "4"]}
+    longest = {(r.item, r.start): r.length for r in D.longest_matches(make_docs(docs[3:]), bench.filter("item_id <> 2")).collect()}
+    assert len(longest) == N + 30_000
+    assert all(longest["1", k] == 70_200 - k for k in range(70_000, 70_195)) and longest["1", 9] == 21
+    assert all(longest["4", k] == 30_000 - k for k in range(30_000))
