@@ -34,7 +34,15 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._delete(self.root)
+
+    def remove(self, *names: str) -> None:
+        """Delete tables that nothing reads any more."""
+        for name in names:
+            self._delete(f"{self.root}/{name}")
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

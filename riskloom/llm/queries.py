@@ -14,6 +14,7 @@ from riskloom.llm.language_id import identify_languages
 from riskloom.llm.line_dedup import dedup_lines
 from riskloom.llm.mixing import mix_sources
 from riskloom.llm.ngram_join import ngram_jaccard_components
+from riskloom.llm.phrases import mine_collocations
 from riskloom.llm.pii import find_personal_data
 from riskloom.llm.quality import classify_quality
 from riskloom.llm.quotes import link_quotations
@@ -62,6 +63,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(read_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quotes": op1_quotes,
     "op2_decontamination": op2_decontamination,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL = {
@@ -149,4 +155,23 @@ ORACLE_SQL = {
                (size * (full_passes + case when rest > 0 and (upto <= rest or (upto - own <= rest
                         and upto - rest <= rest - (upto - own))) then 1 else 0 end))::bigint as taken
         from c""",
+    "op13_collocations": r"""
+        with p as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+        w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+        n as (select lang, sum(len(w))::bigint as n from w group by lang),
+        g as (select lang, w, k, unnest(generate_series(1, len(w) - k + 1)) as i
+              from w, (select unnest([1, 2, 3, 4, 5]) as k) where len(w) >= k),
+        f as (select lang, k, w[i:i + k - 1] as words, count(*) as f from g group by all having count(*) >= 100),
+        d as (select distinct lang, unnest([words[1:k - 1], words[2:k]]) as words, f from f where k > 2),
+        c as (select lang, k, words, f as a from f where k > 1 and not exists
+              (select 1 from d where d.lang = f.lang and d.words = f.words and d.f = f.f)),
+        s as (select lang, words, a, l.f as l, r.f as r, n, cut,
+                     ((1000::hugeint * a * n) // (l.f::hugeint * r.f))::bigint as score
+              from (select *, unnest(generate_series(1, k - 1)) as cut from c) x join n using (lang)
+              join f l on l.lang = x.lang and l.words = x.words[1:cut] join f r on r.lang = x.lang and r.words = x.words[cut + 1:k]),
+        o as (select *, row_number() over (partition by lang, words order by score, cut) as at,
+                     array_to_string(words, ' ') as phrase from s),
+        t as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from o where at = 1)
+        select lang, rank, phrase, a, l, r, n, score from t where rank <= 2000""",
 }
