@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import read_table
 from riskloom.llm.decontamination import find_contamination
 from riskloom.llm.exact_dedup import tree_merge_dedup
+from riskloom.llm.hash_search import hashed_neighbours
 from riskloom.llm.language_id import identify_languages
 from riskloom.llm.line_dedup import dedup_lines
 from riskloom.llm.mixing import mix_sources
@@ -19,6 +20,7 @@ from riskloom.llm.pii import find_personal_data
 from riskloom.llm.quality import classify_quality
 from riskloom.llm.quotes import link_quotations
 from riskloom.llm.sharding import sampled_splitter_shards
+from riskloom.llm.whitening import whiten_embeddings
 
 
 def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +65,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(read_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_hash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashed_neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_collocations(read_table(spark, sf_dir, "documents"))
 
@@ -78,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op11_whitening": op11_whitening,
+    "op12_hash_search": op12_hash_search,
     "op13_collocations": op13_collocations,
 }
 
@@ -170,8 +182,8 @@ ORACLE_SQL = {
                      ((1000::hugeint * a * n) // (l.f::hugeint * r.f))::bigint as score
               from (select *, unnest(generate_series(1, k - 1)) as cut from c) x join n using (lang)
               join f l on l.lang = x.lang and l.words = x.words[1:cut] join f r on r.lang = x.lang and r.words = x.words[cut + 1:k]),
-        o as (select *, row_number() over (partition by lang, words order by score, cut) as at,
+        o as (select *, row_number() over (partition by lang, words order by score, cut) as pick,
                      array_to_string(words, ' ') as phrase from s),
-        t as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from o where at = 1)
+        t as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from o where pick = 1)
         select lang, rank, phrase, a, l, r, n, score from t where rank <= 2000""",
 }
