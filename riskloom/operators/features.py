@@ -8,8 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +37,37 @@ def scaler(input_col: str = FEATURES, output_col: str = SCALED) -> StandardScale
 
 def fit_scaler(df: DataFrame, input_col: str = FEATURES, output_col: str = SCALED) -> StandardScalerModel:
     """Fit the scaler; an empty input raises ``EmptyInput`` instead of aborting a job."""
-    if df.isEmpty():
+    try:
+        model = scaler(input_col, output_col).fit(df)
+    except Exception:
+        if df.isEmpty():  # asked only after a failure: the input plan runs once
+            raise EmptyInput("cannot fit the scaler on an empty table") from None
+        raise
+    if model.mean.size == 0:
         raise EmptyInput("cannot fit the scaler on an empty table")
-    return scaler(input_col, output_col).fit(df)
+    return model
+
+
+def fit_weighted_scaler(df: DataFrame, weight_col: str, input_col: str = FEATURES, output_col: str = SCALED) -> StandardScalerModel:
+    """The scaler of a table whose rows stand for ``weight_col`` equal rows each: one pass over the weighted rows.
+
+    The summariser divides squared deviations by W - Σw²/W (W: sum of weights); times that and over
+    W - 1 it is the sample variance of the table with every row written out.
+    """
+    w = F.col(weight_col)
+    row = df.select(Summarizer.metrics("mean", "variance").summary(F.col(input_col), w).alias("m"),
+                    F.sum(w).alias("all"), F.sum(w * w).alias("squares")).first()
+    if not row["all"]:
+        raise EmptyInput("cannot fit the scaler on an empty table")
+    among = row["all"] - row["squares"] / row["all"]
+    variance = row["m"]["variance"].toArray()
+    # one weighted row, or one row at all: no deviation
+    variance = variance * among / (row["all"] - 1) if among > 0 and row["all"] > 1 else np.zeros(len(variance))
+    sc = df.sparkSession.sparkContext
+    fitted = scaler(input_col, output_col)
+    java = sc._jvm.org.apache.spark.ml.feature.StandardScalerModel(
+        fitted.uid, _py2java(sc, DenseVector(variance ** 0.5)), _py2java(sc, row["m"]["mean"]))
+    return fitted._copyValues(StandardScalerModel(java))
 
 
 def scaler_stats(spark: SparkSession, model: StandardScalerModel, names: Sequence[str]) -> DataFrame:

@@ -7,14 +7,16 @@ the reference job; ``reference_grids`` its documented (but unexecuted) tuning gr
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.evaluate import evaluate_scores
@@ -63,42 +65,90 @@ def reference_grids(estimator) -> list[dict]:
     return b.build()
 
 
+def takes_weights(estimator) -> bool:
+    """Whether a fit on rows with weights is the fit on the rows written out.
+
+    It isn't where rows are drawn (bagging, subsampling), nor where a node needs several rows.
+    """
+    if not estimator.hasParam("weightCol"):
+        return False
+    value = lambda name, other: estimator.getOrDefault(name) if estimator.hasParam(name) else other
+    drawn = isinstance(estimator, RandomForestClassifier) and value("bootstrap", False) and value("numTrees", 1) > 1
+    return not drawn and value("subsamplingRate", 1.0) == 1.0 and value("minInstancesPerNode", 1) == 1
+
+
 def pipeline_model(stages: Sequence[Transformer]) -> PipelineModel:
     """Deliverable pipeline from already *fitted* stages — nothing is refitted."""
     return PipelineModel(stages=list(stages))
 
 
+#: Fits of one fold that are in flight at a time unless ``spark.riskloom.parallelFits`` says otherwise.  A fit on a table
+#: that fills the cluster gains nothing from company; on smaller ones most of its time is the scheduling of short jobs.
+PARALLEL_FITS = 8
+FITS_SETTING = "spark.riskloom.parallelFits"
+#: Scheduler pool of the fits: under ``spark.scheduler.mode=FAIR`` they share the cluster evenly, under FIFO in order of arrival.
+POOL = "riskloom-validation"
+
+
+def _in_parallel(spark: SparkSession, tasks: Sequence[Callable[[], object]], most: int) -> list:
+    """Results of the tasks in their order, ``most`` of them in flight, each in a thread with the session's properties."""
+    def pooled(task):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", POOL)
+        return task()
+
+    with ThreadPoolExecutor(max(1, most)) as threads:
+        waiting = [threads.submit(inheritable_thread_target(spark)(pooled), t) for t in tasks]
+        try:
+            return [w.result() for w in waiting]
+        finally:
+            for w in waiting:  # after a failure nothing further starts
+                w.cancel()
+
+
 def cross_validate(estimators: Sequence[tuple[object, list[dict]]], data: DataFrame, label_col: str,
                    features_col: str = FEATURES, fold_col: str = "fold", num_folds: int = 5, row_cols: Sequence[str] = (),
-                   partitions: int | None = None) -> list[dict]:
+                   partitions: int | None = None, parallel: int | None = None) -> list[dict]:
     """Mean and per-fold exact AUC of every grid point of every estimator; nothing is refitted at the end.
 
     ``data`` holds label, unscaled vector and a key-hash fold (see ``split.fold_assignment``); rows
     of other folds are not used.  The slim table is laid out as for training and cached once;
     each fold is a plain filter of it, and the scaler is fitted on the fold's training rows only.
-    An estimator's features column must be ``SCALED``; ``row_cols`` (the key) spread equal vectors.
+    A fold's scaled rows are cached once and read by all of its grid points, of which ``parallel``
+    are fitted at a time.  An estimator's features column must be ``SCALED``; ``row_cols`` (the
+    key) spread equal vectors.
     """
+    spark = data.sparkSession
+    most = parallel or int(spark.conf.get(FITS_SETTING, str(PARALLEL_FITS)))
     slim = data.select(*row_cols, F.col(label_col).cast("double").alias(label_col), features_col,
                        F.col(fold_col).cast("int").alias(fold_col))
     by = [*row_cols, "_values", label_col]
     slim = training_layout(slim.withColumn("_values", vector_to_array(features_col)), by, partitions).drop("_values", *row_cols)
     slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
-    found = [[[] for _ in grid] for _, grid in estimators]
+    points = [(e, estimator, point) for e, (estimator, grid) in enumerate(estimators) for point in grid]
+    per_fold = []
     try:
         for fold in range(num_folds):
             inside, outside = slim.filter(F.col(fold_col) != fold).drop(fold_col), slim.filter(F.col(fold_col) == fold)
             scale = scaler(features_col, SCALED).fit(inside)
             train = scale.transform(inside).select(label_col, SCALED).persist(StorageLevel.MEMORY_AND_DISK)
-            check = scale.transform(outside).select(label_col, SCALED)
-            for e, (estimator, grid) in enumerate(estimators):
-                for g, point in enumerate(grid):
-                    scored = estimator.fit(train, point).transform(check).select(
-                        label_col, F.col("prediction").cast("int").alias("prediction"),
-                        vector_to_array("rawPrediction")[1].alias("score"))
-                    found[e][g].append(evaluate_scores(scored, label_col, "score", "prediction")["auc"])
+            check = scale.transform(outside).select(label_col, SCALED).persist(StorageLevel.MEMORY_AND_DISK)
+
+            def auc(estimator, point, train=train, check=check):
+                scored = estimator.copy(point).fit(train).transform(check).select(
+                    label_col, F.col("prediction").cast("int").alias("prediction"),
+                    vector_to_array("rawPrediction")[1].alias("score"))
+                return evaluate_scores(scored, label_col, "score", "prediction")["auc"]
+
+            train.count()  # filled once, before the fits ask for it all at a time
+            per_fold.append(_in_parallel(spark, [partial(auc, estimator, point) for _, estimator, point in points], most))
             train.unpersist()
+            check.unpersist()
     finally:
         slim.unpersist()
-    return [{"estimator": type(estimator).__name__, "point": g, "params": {p.name: v for p, v in point.items()},
-             "fold_auc": aucs, "mean_auc": sum(aucs) / len(aucs) if aucs and None not in aucs else None}
-            for (estimator, grid), per_point in zip(estimators, found) for g, (point, aucs) in enumerate(zip(grid, per_point))]
+    out, within = [], [0] * len(estimators)
+    for i, (e, estimator, point) in enumerate(points):
+        aucs = [found[i] for found in per_fold]
+        out.append({"estimator": type(estimator).__name__, "point": within[e], "params": {p.name: v for p, v in point.items()},
+                    "fold_auc": aucs, "mean_auc": sum(aucs) / len(aucs) if aucs and None not in aucs else None})
+        within[e] += 1
+    return out

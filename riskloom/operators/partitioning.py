@@ -34,6 +34,29 @@ def training_layout(df: DataFrame, by: Sequence[str], n: int | None = None) -> D
     return df.repartition(n or train_partitions(df), order).sortWithinPartitions(order, *by)
 
 
+def weighted_layout(df: DataFrame, by: Sequence[str], n: int | None = None, weight: str = "weight") -> DataFrame:
+    """Equal rows as few rows with a weight, dealt evenly; for tables without a key.
+
+    Rows are counted by all columns (map-side, so a hot row is one entry per task), and a row that
+    occurs c times becomes min(c, n) rows whose whole-number weights sum to c, on that many
+    neighbouring partitions beginning at its hash: no partition gets more than its share of a row
+    that fills a third of the table.  The layout depends on rows and configuration only.
+    """
+    n = n or train_partitions(df)
+    order = F.xxhash64(*by)
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies of row"))
+    parts = F.least(F.col("copies of row"), F.lit(n))
+    dealt = counted.withColumn("share of row", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+    share = F.floor(F.col("copies of row") / parts) + F.when(F.col("share of row") < F.col("copies of row") % parts, 1).otherwise(0)
+    dealt = dealt.select(*df.columns, share.cast("double").alias(weight), F.pmod(order + F.col("share of row"), F.lit(n)).cast("int").alias("part of row"))
+    return dealt.repartitionById(n, "part of row").drop("part of row").sortWithinPartitions(order, *by)
+
+
+def repeated(df: DataFrame, weight: str = "weight") -> DataFrame:
+    """Each row as often as its weight says, within its partition (for learners that draw rows)."""
+    return df.withColumn(weight, F.explode(F.sequence(F.lit(1), F.col(weight).cast("int")))).drop(weight)
+
+
 def tree_depth(n_partitions: int, fan_in: int = 32) -> int:
     """Depth of tree aggregation so that no task merges more than about ``fan_in`` partial sums."""
     depth, reach = 2, fan_in ** 2

@@ -73,14 +73,14 @@ def describe_features(df: DataFrame, cols: Sequence[str], decimals: int | None =
 def label_distribution(df: DataFrame, label_col: str, decimals: int = 6) -> DataFrame:
     """Rows per label value and their share of all rows.
 
-    One ``rollup``: the total is the row of the grand grouping, joined as a one-row side, so
-    a label with many values (a regression target by mistake) never meets in one task.
+    Rows are counted once by label; the total is the sum of these counts, joined on a key that
+    is 0 in every row - computed from the row, so that it stays a join key, and from one row a
+    label, so that a label with many values (a regression target by mistake) never meets in one task.
     """
-    rolled = df.select(F.col(label_col).alias("label")).rollup("label").agg(
-        F.count(F.lit(1)).alias("rows"), F.grouping("label").alias("_all"))
-    counts = rolled.filter("_all = 0").select("label", "rows", F.lit(1).alias("_one"))
-    total = rolled.filter("_all = 1").select(F.col("rows").alias("_n"), F.lit(1).alias("_one"))
-    return counts.join(total, "_one").select("label", "rows", F.round(F.col("rows") / F.col("_n"), decimals).alias("share"))
+    counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
+    counts = counts.withColumn("_all", F.pmod(F.xxhash64("label"), F.lit(1)))
+    total = counts.groupBy("_all").agg(F.sum("rows").alias("_n"))
+    return counts.join(total, "_all").select("label", "rows", F.round(F.col("rows") / F.col("_n"), decimals).alias("share"))
 
 
 def dataset_info(df: DataFrame, part_col: str, n_features: int) -> DataFrame:

@@ -21,7 +21,7 @@ def select_features(df: DataFrame, catalog: FeatureCatalog, keep_keys: bool = Fa
     return df.select(*cols)
 
 
-def _is_invalid(df: DataFrame, name: str) -> Column:
+def is_invalid(df: DataFrame, name: str) -> Column:
     """Null, or NaN for floating columns (what the assembler's ``skip`` drops)."""
     dtype = df.schema[name].dataType
     bad = F.col(name).isNull()
@@ -33,7 +33,7 @@ def _is_invalid(df: DataFrame, name: str) -> Column:
 def any_invalid(df: DataFrame, cols: Sequence[str]) -> Column:
     cond = F.lit(False)
     for c in cols:
-        cond = cond | _is_invalid(df, c)
+        cond = cond | is_invalid(df, c)
     return cond
 
 
@@ -42,6 +42,11 @@ def valid_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.filter(~any_invalid(df, cols))
 
 
+def invalid_names(df: DataFrame, cols: Sequence[str]) -> Column:
+    """Names of the listed columns that are null or NaN in a row."""
+    return F.array_compact(F.array(*[F.when(is_invalid(df, c), F.lit(c)) for c in cols]))
+
+
 def rejected_rows(df: DataFrame, key_cols: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Complement of ``valid_rows``: key plus the names of the offending columns.
 
@@ -49,8 +54,7 @@ def rejected_rows(df: DataFrame, key_cols: Sequence[str], cols: Sequence[str]) -
     rewrites it once for every subset of renamed or cast columns (2^21 here).  A draw that is
     always true makes the filter non-deterministic, which keeps it where it stands.
     """
-    bad_names = F.array_compact(F.array(*[F.when(_is_invalid(df, c), F.lit(c)) for c in cols]))
-    return (df.select(*key_cols, bad_names.alias("bad_columns"))
+    return (df.select(*key_cols, invalid_names(df, cols).alias("bad_columns"))
             .filter(F.when(F.rand() >= 0, F.size("bad_columns") > 0)))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.catalog import FeatureCatalog
-from riskloom.operators.quality import rejected_rows, valid_rows
+from riskloom.operators.quality import invalid_names, is_invalid, rejected_rows, valid_rows
 
 AT_RISK = "at_risk"
 NO_RISK = "no_significant_risk"
@@ -50,6 +50,30 @@ def score_with_rejects(df: DataFrame, model: PipelineModel, catalog: FeatureCata
             rejected_rows(df, keys, catalog.names))
 
 
+#: Values of ``status`` in a table of all records.
+SCORED, REJECTED = "scored", "rejected"
+
+
+def score_once(df: DataFrame, model: PipelineModel, catalog: FeatureCatalog, extra_cols: Sequence[str] = ()) -> DataFrame:
+    """Every row, scored or not, in one pass: identity (+ extra columns), status, prediction, probability,
+    raw_score, bad_columns.
+
+    A row with a null/NaN feature is 'rejected': its scores are null and ``bad_columns`` names
+    the features; for the others that list is empty.  Such features pass through the model as 0,
+    which keeps the assembler from dropping the row.
+    """
+    identity = [*catalog.identity_in(df), *extra_cols]
+    kept = [f"kept {i}" for i in range(len(identity))]
+    bad = invalid_names(df, catalog.names)
+    whole = [F.when(is_invalid(df, c), F.lit(0.0)).otherwise(F.col(c).cast("double")).alias(c) for c in catalog.names]
+    rows = df.select(*[F.col(c).alias(k) for c, k in zip(identity, kept)], bad.alias("bad_columns"), *whole)
+    out = score_table(rows, model, kept, ["bad_columns"])
+    fine = F.size("bad_columns") == 0
+    return out.select(*[F.col(f"`{k}`").alias(c) for c, k in zip(identity, kept)],
+                      F.when(fine, SCORED).otherwise(REJECTED).alias("status"),
+                      *[F.when(fine, F.col(c)).alias(c) for c in ("prediction", "probability", "raw_score")], "bad_columns")
+
+
 def decision(score: Column, threshold: float = 0.5) -> Column:
     """1 when the score is strictly above the threshold (Spark ML's rule), else 0."""
     return (score > F.lit(threshold)).cast("int")

@@ -66,3 +66,13 @@ def closed_run(spark: SparkSession, sf_dir: str, flags: Sequence[str]) -> RunRes
                              model_dir=model_dir(spark, sf_dir, f"{len(flags)}-{flags[0]}"))
         _RUNS[key] = train_job(spark, flag_rows(spark, sf_dir, flags), config)
     return _RUNS[key]
+
+
+def keyless_run(spark: SparkSession, sf_dir: str, flags: Sequence[str]) -> RunResult:
+    """``closed_run`` on the same rows without their key."""
+    key = (spark.sparkContext.applicationId, input_token(spark, sf_dir), "keyless", *flags)
+    if key not in _RUNS:
+        catalog = FeatureCatalog(closed_catalog(flags).features, label="label", key_cols=())
+        config = TrainConfig(catalog, family=closed_family(), train_percent=TRAIN_PERCENT, bucket_col="split_bucket")
+        _RUNS[key] = train_job(spark, flag_rows(spark, sf_dir, flags).drop("row_key"), config)
+    return _RUNS[key]

@@ -29,17 +29,20 @@ from riskloom.operators import profile as pf
 from riskloom.operators import quality as q
 from riskloom.operators.features import SCALED, assembler, fit_scaler, scaler_stats, vector_columns
 from riskloom.operators.models import cross_validate, pipeline_model, reference_grids
+from riskloom.operators.profile_states import current_states, merged_description, merged_labels, update_profile
 from riskloom.operators.score import linear_probability, positive_probability, score_with_rejects, verdicts
 from riskloom.operators.select import auc_percent, select_winner
 from riskloom.operators.split import fold_assignment, hash_split
-from riskloom.plans.fixture_runs import closed_catalog, closed_run, model_dir
-from riskloom.plans.score_job import score_job
+from riskloom.operators.tree_score import read_trees, score_trees
+from riskloom.plans.fixture_runs import closed_catalog, closed_run, keyless_run, model_dir
+from riskloom.plans.score_job import score_job, score_to
 from riskloom.session import input_state
 from riskloom.sources import fixtures as fx
 from riskloom.sources import registry
+from riskloom.sources.lines import classify_lines
 from riskloom.sources.tables import records_from_json, zip_features_target
 from riskloom.sources.tables import scan_training as scan_training_path
-from riskloom.streaming.score_stream import run_to_completion
+from riskloom.streaming.score_stream import read_sink, run_to_completion, score_stream_once
 
 CAT = RISK_ROWS_CATALOG
 FEATS = fx.RISK_FEATURES
@@ -120,6 +123,47 @@ SQL_RECORDS = ("SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS
                "FROM events")
 
 
+def _written_lines(spark, sf) -> DataFrame:
+    """All rows as lines of JSON and of CSV, with faults planted by order line."""
+    rows = fx.flag_rows(spark, sf, ONE)
+    record = F.to_json(F.struct(KEY, F.when(F.col("quantity") != 50, F.col("hi_score")).alias("hi_score")))
+    line = F.split_part(F.col(KEY), F.lit("|"), F.lit(5))
+    fields = F.concat_ws(",", KEY, F.when(F.col("quantity") != 50, F.col("hi_score").cast("string")).otherwise(""))
+    json_line = (F.when(line == "7", F.concat(F.lit("cut off "), record)).when(line == "6", F.lit("[1, 2]"))
+                 .when(line == "5", F.lit("  ")).otherwise(record))
+    csv_line = (F.when(line == "7", F.concat(fields, F.lit(",9,9"))).when(line == "6", F.col(KEY))
+                .when(line == "5", F.concat(F.lit('"'), fields)).otherwise(fields))
+    return rows.select(F.explode(F.array(F.struct(F.lit("json").alias("fmt"), json_line.alias("line")),
+                                         F.struct(F.lit("csv").alias("fmt"), csv_line.alias("line")))).alias("l")).select("l.*")
+
+
+def corrupt_records(spark, sf):
+    """Lines that are no record, with reasons; of the others how many can be scored and how many lack a feature."""
+    lines, catalog = _written_lines(spark, sf), closed_catalog(ONE)
+    parts = []
+    for fmt in ("json", "csv"):
+        classified = classify_lines(lines.filter(F.col("fmt") == fmt).drop("fmt"), catalog, fmt, [KEY, *ONE])
+        no_feature = F.col("record")["hi_score"].try_cast("double").isNull()
+        what = F.coalesce("reason", F.when(no_feature, "rejected").otherwise("scored"))
+        parts.append(classified.groupBy(F.lit(fmt).alias("fmt"), what.alias("what")).agg(
+            F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).alias("characters")))
+    return parts[0].unionByName(parts[1])
+
+
+SQL_CORRUPT = RISK + f""",
+r AS (SELECT CAST(split_part(row_key, '|', 5) AS INTEGER) AS line, qty, row_key, CASE WHEN qty <> 50 THEN {HI_SCORE_SQL} END AS x FROM risk_rows),
+j AS (SELECT line, qty, row_key, '{{"row_key":"' || row_key || '"' || CASE WHEN x IS NULL THEN '' ELSE ',"hi_score":' || x END || '}}' AS record,
+             row_key || ',' || coalesce(CAST(x AS VARCHAR), '') AS fields FROM r),
+l AS (SELECT 'json' AS fmt, CASE line WHEN 7 THEN 'not_json' WHEN 6 THEN 'not_an_object' WHEN 5 THEN 'empty' END AS reason, qty,
+             CASE line WHEN 7 THEN 'cut off ' || record WHEN 6 THEN '[1, 2]' WHEN 5 THEN '  ' ELSE record END AS line FROM j
+      UNION ALL
+      SELECT 'csv', CASE line WHEN 7 THEN 'too_many_fields' WHEN 6 THEN 'too_few_fields' WHEN 5 THEN 'open_quote' END, qty,
+             CASE line WHEN 7 THEN fields || ',9,9' WHEN 6 THEN row_key WHEN 5 THEN '"' || fields ELSE fields END FROM j)
+SELECT fmt, coalesce(reason, CASE WHEN qty = 50 THEN 'rejected' ELSE 'scored' END) AS what, count(*) AS lines,
+       CAST(sum(length(line)) AS BIGINT) AS characters
+FROM l GROUP BY ALL"""
+
+
 # ----------------------------------------------------------------------------- profile
 def split_counts(spark, sf):
     return pf.split_counts(hash_split(_rr(spark, sf), bucket_col="split_bucket"), "part", "label")
@@ -164,6 +208,30 @@ SELECT label, count(*) AS rows, round(count(*) / sum(count(*)) OVER (), 6) AS sh
 FROM risk_rows GROUP BY label"""
 
 
+def _grown(spark, sf) -> tuple[str, str]:
+    """A folder that gets its rows in two deliveries, profiled after each; folder and its states."""
+    root = model_dir(spark, sf, "growing")
+    for part in (F.col("split_bucket") < 50, F.col("split_bucket") >= 50):
+        if input_state(spark, f"{root}/done") == input_state(spark):  # a repeated call finds both
+            _rr(spark, sf).filter(part).select(*FEATS, "label").write.mode("append").parquet(f"{root}/rows")
+            update_profile(spark, f"{root}/rows", [*FEATS, "label"], "label", f"{root}/states")
+    spark.range(1).write.mode("overwrite").parquet(f"{root}/done")
+    return f"{root}/rows", f"{root}/states"
+
+
+def profile_incremental(spark, sf):
+    return merged_description(current_states(spark, *_grown(spark, sf)), decimals=6)
+
+
+def labels_incremental(spark, sf):
+    return merged_labels(current_states(spark, *_grown(spark, sf)))
+
+
+SQL_LABELS_INCREMENTAL = RISK + """
+SELECT CAST(label AS VARCHAR) AS label, count(*) AS rows, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM risk_rows GROUP BY ALL"""
+
+
 def dataset_info(spark, sf):
     return pf.dataset_info(hash_split(_rr(spark, sf), bucket_col="split_bucket"), "part", len(FEATS))
 
@@ -308,14 +376,14 @@ def assembled_features(spark, sf):
 SQL_ASSEMBLED = RISK + " SELECT row_key, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATS) + " FROM risk_rows"
 
 
-def _scaler_on_train(spark, sf):
+def _scaler_on_train(rows):
     """Assembler + scaler fitted on the training part (one pass)."""
     asm = assembler(FEATS)
-    return asm, fit_scaler(asm.transform(_train(_rr(spark, sf))))
+    return asm, fit_scaler(asm.transform(_train(rows)))
 
 
 def scaler_stats_q(spark, sf):
-    _, model = _scaler_on_train(spark, sf)
+    _, model = _scaler_on_train(_rr(spark, sf))
     stats = scaler_stats(spark, model, FEATS)
     return stats.select("ordinal", "feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
@@ -326,8 +394,10 @@ SQL_SCALER_STATS = RISK + ", tr AS (SELECT * FROM risk_rows WHERE split_bucket <
 
 
 def scaled_features(spark, sf):
-    asm, model = _scaler_on_train(spark, sf)
-    out = model.transform(asm.transform(_rr(spark, sf)))
+    """Fitted on the training part and applied to every row: the star join runs once, into a copy that both read."""
+    rows = fx.risk_rows_table(spark, sf)
+    asm, model = _scaler_on_train(rows)
+    out = model.transform(asm.transform(rows))
     return vector_columns(out, "scaled_features", FEATS, keep=[KEY], decimals=6)
 
 
@@ -469,6 +539,23 @@ def train_family(spark, sf):
                                                          "recall", "predicted_positive", "test_rows", "is_winner")
 
 
+def train_weighted(spark, sf):
+    """The family on the same rows without their key: equal rows, thousands each, become weights, and nothing else changes."""
+    return keyless_run(spark, sf, ONE).leaderboard.select("model", "ordinal", "accuracy", "auc_roc", "f1_score", "positive_f1",
+                                                         "recall", "predicted_positive", "test_rows", "is_winner")
+
+
+def weighted_scaler(spark, sf):
+    """Mean and deviation that the keyless run's scaler took from weighted rows."""
+    model = keyless_run(spark, sf, ONE).pipeline.stages[1]
+    return scaler_stats(spark, model, list(ONE)).select("feature", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
+
+
+SQL_WEIGHTED_SCALER = RISK + f"""
+SELECT 'hi_score' AS feature, round(avg({HI_SCORE_SQL}), 9) AS mean, round(stddev_samp({HI_SCORE_SQL}), 9) AS std
+FROM risk_rows WHERE split_bucket < 80"""
+
+
 def leaderboard_q(spark, sf):
     return auc_percent(closed_run(spark, sf, ONE).leaderboard)
 
@@ -501,7 +588,7 @@ FROM f, (VALUES {", ".join(f"('{e}')" for e in estimators)}) AS e(estimator), ra
 
 
 SQL_CROSS_VALIDATE = _sql_cv(fx.NUM_FOLDS, ["LogisticRegression"])
-SQL_CROSS_VALIDATE_TREES = _sql_cv(2, ["RandomForestClassifier", "GBTClassifier"])
+SQL_CROSS_VALIDATE_TREES = _sql_cv(fx.NUM_FOLDS, ["RandomForestClassifier", "GBTClassifier"])
 
 
 # ----------------------------------------------------------------------------- scoring
@@ -524,6 +611,55 @@ def score_batch_rejects(spark, sf):
     return rejects.select(KEY, F.array_join("bad_columns", ",").alias("bad_columns"))
 
 
+def _status(scored: DataFrame) -> DataFrame:
+    return scored.select(KEY, "status", "prediction", F.round("probability", 6).alias("probability"),
+                         F.array_join("bad_columns", ",").alias("bad_columns"))
+
+
+def score_one_pass(spark, sf):
+    """Every record, scored or rejected, from one read: the table that the batch job writes."""
+    closed_run(spark, sf, ONE)
+    out = model_dir(spark, sf, "one-pass")
+    score_to(spark, _records(spark, sf), f"{model_dir(spark, sf, '1-hi_score')}/best_model", closed_catalog(ONE), out)
+    return _status(spark.read.parquet(out))
+
+
+def score_trees_q(spark, sf):
+    """Both tree families, scored from the files of the saved pipelines."""
+    parts = []
+    for name in ("Random Forest", "Gradient Boosted Trees"):
+        saved = registry.save_pipeline(_closed_pipeline(spark, sf, name), f"{model_dir(spark, sf, 'trees')}/{name.replace(' ', '-')}")
+        scored = score_trees(_records(spark, sf), read_trees(spark, saved), [KEY])
+        parts.append(scored.select(F.lit(name).alias("model"), KEY, "prediction", F.round("probability", 6).alias("probability")))
+    return parts[0].unionByName(parts[1])
+
+
+def tree_nodes(spark, sf):
+    """The saved forest as a table of nodes: one split, two leaves whose shares are the groups' rates."""
+    saved = registry.save_pipeline(_closed_pipeline(spark, sf, "Random Forest"), model_dir(spark, sf, "nodes"))
+    nodes = read_trees(spark, saved).nodes
+    return nodes.select("tree", "node", F.col("left").isNull().alias("is_leaf"), "feature",
+                        F.round(F.when(F.col("left").isNull(), F.col("share")), 6).alias("share"), "weight")
+
+
+SQL_TREE_NODES = _SQL_RATES + """
+SELECT 0 AS tree, 0 AS node, false AS is_leaf, 0 AS feature, CAST(NULL AS DOUBLE) AS share, CAST(1 AS DOUBLE) AS weight
+UNION ALL SELECT 0, 1 + hi_score, true, NULL, round(r, 6), 1 FROM rates"""
+SQL_SCORE_TREES = _SQL_RATES + f"""
+SELECT 'Random Forest' AS model, row_key, CAST(r > 0.5 AS INTEGER) AS prediction, round(r, 6) AS probability
+FROM risk_rows JOIN rates ON rates.hi_score = {HI_SCORE_SQL} WHERE qty <> 50
+UNION ALL
+SELECT 'Gradient Boosted Trees', row_key, CAST(r > 0.5 AS INTEGER), round(1.0 / (1.0 + exp(-2.0 * (2.0 * r - 1.0))), 6)
+FROM risk_rows JOIN rates ON rates.hi_score = {HI_SCORE_SQL} WHERE qty <> 50"""
+_SQL_STATUS = _SQL_RATES + f"""
+SELECT row_key, CASE WHEN qty = 50 THEN 'rejected' ELSE 'scored' END AS status,
+       CASE WHEN qty <> 50 THEN CAST(r > 0.5 AS INTEGER) END AS prediction,
+       CASE WHEN qty <> 50 THEN round({{p}}, 6) END AS probability,
+       CASE WHEN qty = 50 THEN 'hi_score' ELSE '' END AS bad_columns
+FROM risk_rows JOIN rates ON rates.hi_score = {HI_SCORE_SQL}"""
+SQL_SCORE_ONE_PASS = _SQL_STATUS.format(p="r")
+SQL_SCORE_STREAM_ONCE = _SQL_STATUS.format(p="1.0 / (1.0 + exp(-2.0 * (2.0 * r - 1.0)))")
+
 SQL_SCORE_BATCH = _SQL_RATES + f"""
 SELECT row_key, CAST(r > 0.5 AS INTEGER) AS prediction, round(r, 6) AS probability
 FROM risk_rows JOIN rates ON rates.hi_score = {HI_SCORE_SQL} WHERE qty <> 50"""
@@ -574,6 +710,17 @@ def score_stream_rejects(spark, sf):
     return _streamed(spark, sf)[1].select(KEY, F.array_join("bad_columns", ",").alias("bad_columns"))
 
 
+def score_stream_once_q(spark, sf):
+    """Every record through the stream that reads each batch once; a repeated call finds its checkpoint and resumes."""
+    root = model_dir(spark, sf, "stream-once")
+    saved = registry.save_pipeline(_closed_pipeline(spark, sf, "Gradient Boosted Trees"), f"{root}/model")
+    if input_state(spark, f"{root}/source") == input_state(spark):
+        _records(spark, sf).drop("label").write.mode("overwrite").parquet(f"{root}/source")
+    score_stream_once(spark, f"{root}/source", registry.load_pipeline(saved, closed_catalog(ONE)), closed_catalog(ONE),
+                      f"{root}/sink", f"{root}/checkpoint").awaitTermination()
+    return _status(read_sink(spark, f"{root}/sink"))
+
+
 SQL_SCORE_STREAM = _SQL_RATES + f"""
 SELECT row_key, CAST(r > 0.5 AS INTEGER) AS prediction, round(1.0 / (1.0 + exp(-2.0 * (2.0 * r - 1.0))), 6) AS probability
 FROM risk_rows JOIN rates ON rates.hi_score = {HI_SCORE_SQL} WHERE qty <> 50"""
@@ -646,6 +793,37 @@ SQL_AUC = _SQL_EVAL + "," + _sql_auc("e", None) + """
 SELECT round(auc, 9) AS auc, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg FROM auc"""
 
 
+BINS = 1000  # the bins of the reference's evaluator
+
+
+def _binned(spark, sf) -> DataFrame:
+    return ev.roc_binned(_test(_rr(spark, sf)).select("label", "price"), "price", "label", BINS)
+
+
+def roc_binned(spark, sf):
+    """The binned ROC curve of a score with many distinct values (the price)."""
+    return _binned(spark, sf).select("point", "threshold", "tp", "fp", F.round("tpr", 9).alias("tpr"), F.round("fpr", 9).alias("fpr"))
+
+
+def auc_binned(spark, sf):
+    return ev.auc_binned(_binned(spark, sf)).select(F.round("auc", 9).alias("auc"), "n_points")
+
+
+_SQL_BINNED = RISK + f""",
+c AS (SELECT price AS score, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n
+      FROM risk_rows WHERE split_bucket >= 80 GROUP BY price),
+k AS (SELECT *, (row_number() OVER (ORDER BY score DESC) - 1) // greatest(1, (SELECT count(*) FROM c) // {BINS}) + 1 AS point FROM c),
+b AS (SELECT point, min(score) AS threshold, sum(p) AS p, sum(n) AS n FROM k GROUP BY point
+      UNION ALL SELECT 0, NULL, 0, 0),
+roc AS (SELECT point, threshold, CAST(sum(p) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS fp,
+               sum(p) OVER w / sum(p) OVER () AS tpr, sum(n) OVER w / sum(n) OVER () AS fpr
+        FROM b WINDOW w AS (ORDER BY point ROWS UNBOUNDED PRECEDING))"""
+SQL_ROC_BINNED = _SQL_BINNED + " SELECT point, threshold, tp, fp, round(tpr, 9) AS tpr, round(fpr, 9) AS fpr FROM roc"
+SQL_AUC_BINNED = _SQL_BINNED + """
+SELECT round(sum((fpr - before_fpr) * (tpr + before_tpr) / 2), 9) AS auc, max(point) AS n_points
+FROM (SELECT *, lag(fpr) OVER (ORDER BY point) AS before_fpr, lag(tpr) OVER (ORDER BY point) AS before_tpr FROM roc)"""
+
+
 # Three fixed scorers over the same rows: (name, ordinal, score, decision cut).
 SCORERS = [("qty_discount", 1, eval_score, EVAL_SCORE_SQL, EVAL_CUT),
            ("qty_only", 2, lambda: F.col("qty"), "qty", 45),
@@ -822,12 +1000,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "accuracy": accuracy,
     "weighted_f1": weighted_f1,
     "auc_exact": auc_exact,
+    "roc_binned": roc_binned,
+    "auc_binned": auc_binned,
     "leaderboard_from_scores": leaderboard_from_scores,
     "select_winner": select_winner_q,
     "top_k_importances": top_k_importances,
     "top_five_importances": top_five_importances,
     "importance_chart": importance_chart,
     "risk_profile": risk_profile,
+    "corrupt_records": corrupt_records,
+    "profile_incremental": profile_incremental,
+    "labels_incremental": labels_incremental,
+    "train_weighted": train_weighted,
+    "weighted_scaler": weighted_scaler,
+    "score_one_pass": score_one_pass,
+    "score_trees": score_trees_q,
+    "tree_nodes": tree_nodes,
+    "score_stream_once": score_stream_once_q,
     "risk_bands": risk_bands,
     "report_json": report_json,
 }
@@ -876,10 +1065,21 @@ ORACLE_SQL: dict[str, str] = {
     "accuracy": SQL_ACCURACY,
     "weighted_f1": SQL_WEIGHTED_F1,
     "auc_exact": SQL_AUC,
+    "roc_binned": SQL_ROC_BINNED,
+    "auc_binned": SQL_AUC_BINNED,
     "leaderboard_from_scores": SQL_LEADERBOARD_FROM_SCORES,
     "select_winner": SQL_SELECT_WINNER,
     "top_k_importances": SQL_TOP_K,
     "importance_chart": SQL_IMPORTANCE_CHART,
     "risk_profile": SQL_RISK_PROFILE,
+    "corrupt_records": SQL_CORRUPT,
+    "profile_incremental": SQL_DESCRIBE,
+    "labels_incremental": SQL_LABELS_INCREMENTAL,
+    "train_weighted": SQL_TRAIN_FAMILY,
+    "weighted_scaler": SQL_WEIGHTED_SCALER,
+    "score_one_pass": SQL_SCORE_ONE_PASS,
+    "score_trees": SQL_SCORE_TREES,
+    "tree_nodes": SQL_TREE_NODES,
+    "score_stream_once": SQL_SCORE_STREAM_ONCE,
     "risk_bands": SQL_RISK_BANDS,
 }

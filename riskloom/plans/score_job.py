@@ -1,4 +1,4 @@
-"""Batch scoring job: table (or records folder) + saved pipeline → scored rows + rejects.
+"""Batch scoring job: table (or records folder) + saved pipeline → scored rows + rejects (``status``), in one pass.
 
     python -m riskloom.plans.score_job --input /shared/new/ --format json \
         --model /shared/model/best_model --output /shared/scored --catalog cdc
@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import argparse
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.catalog import CDC_CATALOG, DOC_QUALITY_CATALOG, RISK_ROWS_CATALOG, FeatureCatalog
-from riskloom.operators.score import score_with_rejects
+from riskloom.operators.score import REJECTED, SCORED, score_once, score_with_rejects
 from riskloom.sources.registry import load_pipeline
 from riskloom.sources.tables import read_records
 
@@ -30,6 +33,26 @@ def score_job(spark: SparkSession, table: DataFrame, model: PipelineModel | str,
     return score_with_rejects(table, pipeline, catalog)
 
 
+@dataclass
+class ScoreCounts:
+    scored: int
+    rejected: int
+
+
+def score_to(spark: SparkSession, table: DataFrame, model: PipelineModel | str, catalog: FeatureCatalog, path: str) -> ScoreCounts:
+    """Score a table into ``path``, split by ``status`` (scored / rejected), and count both: the input is read once.
+
+    The counts are taken on the way to the files (an Observation), not by a second look.
+    """
+    catalog.check(table)
+    pipeline = load_pipeline(model, catalog) if isinstance(model, str) else model
+    seen = Observation()
+    count = lambda status: F.count(F.when(F.col("status") == status, 1))
+    rows = score_once(table, pipeline, catalog).observe(seen, count(SCORED).alias(SCORED), count(REJECTED).alias(REJECTED))
+    rows.write.mode("overwrite").partitionBy("status").parquet(path)
+    return ScoreCounts(seen.get[SCORED], seen.get[REJECTED])
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="Score a folder of records with a saved pipeline.")
     ap.add_argument("--input", required=True)
@@ -41,9 +64,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("riskloom-score-job").getOrCreate()
     catalog = CATALOGS[args.catalog]
     records = read_records(spark, args.input, catalog, args.format)
-    scored, rejects = score_job(spark, records, args.model, catalog)
-    scored.write.mode("overwrite").parquet(f"{args.output}/scored")
-    rejects.write.mode("overwrite").parquet(f"{args.output}/rejects")
+    counts = score_to(spark, records, args.model, catalog, args.output)
+    print(f"scored {counts.scored}, rejected {counts.rejected}")
 
 
 if __name__ == "__main__":

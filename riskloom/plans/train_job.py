@@ -12,7 +12,9 @@ Differences from a naive translation, each deliberate:
   reduced in one pass to (score, prediction) cells that feed both the confusion
   metrics and the exact AUC;
 * the learners read one slim cached table (label, vector, part) whose layout depends on the
-  rows and on configuration only, so the same rows give the same trees on any cluster.
+  rows and on configuration only, so the same rows give the same trees on any cluster;
+* in a table without a key equal rows become few rows with a weight, so that one row that
+  fills a third of the table is spread, and counts as often as it occurs.
 """
 
 from __future__ import annotations
@@ -32,15 +34,18 @@ from riskloom.functions.local import local_frame
 from riskloom.errors import CatalogMismatch, EmptyInput, SingleClassLabel
 from riskloom.operators import evaluate as ev
 from riskloom.operators.explain import coefficients, feature_importances, tree_stats
-from riskloom.operators.features import FEATURES, SCALED, assembler, scaler
-from riskloom.operators.models import ModelSpec, pipeline_model, reference_family
-from riskloom.operators.partitioning import train_partitions, training_layout, tree_depth
+from riskloom.operators.features import FEATURES, SCALED, assembler, fit_weighted_scaler, scaler
+from riskloom.operators.models import ModelSpec, pipeline_model, reference_family, takes_weights
+from riskloom.operators.partitioning import repeated, train_partitions, training_layout, tree_depth, weighted_layout
 from riskloom.operators.quality import any_invalid, rejected_rows, valid_rows
 from riskloom.operators.score import positive_probability
 from riskloom.operators.select import leaderboard, round_metrics, select_winner
 from riskloom.operators.split import hash_split, random_split
 from riskloom.sources import registry
 
+#: Column of the number of equal rows that a row of a table without a key stands for.
+WEIGHT = "row_weight"
+
 
 @dataclass
 class TrainConfig:
@@ -111,13 +116,16 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
     asm = assembler(cat.names)
     rows = list(dict.fromkeys([*keys, *cat.names]))
     good = valid_rows(split, cat.names).select(*rows, F.col(label).cast("double").alias(label), "part")
-    laid = asm.transform(training_layout(good, [*rows, label])).select(label, "part", FEATURES)
-    laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
+    weighted = not cat.keys_in(table)
+    extra = [WEIGHT] if weighted else []
+    by = [*rows, label]
+    laid = weighted_layout(good, [*by, "part"], weight=WEIGHT) if weighted else training_layout(good, by)
+    laid = asm.transform(laid).select(label, "part", FEATURES, *extra).persist(StorageLevel.MEMORY_AND_DISK)
     fit_on = laid if config.scaler_scope == "all" else laid.filter(F.col("part") == "train")
-    scaler_model = scaler().fit(fit_on)
-    scaled = scaler_model.transform(laid).select(label, "part", SCALED).persist(StorageLevel.MEMORY_AND_DISK)
-    train = scaled.filter(F.col("part") == "train").select(label, SCALED)
-    test = scaled.filter(F.col("part") == "test").select(label, SCALED)
+    scaler_model = fit_weighted_scaler(fit_on, WEIGHT) if weighted else scaler().fit(fit_on)
+    scaled = scaler_model.transform(laid).select(label, "part", SCALED, *extra).persist(StorageLevel.MEMORY_AND_DISK)
+    train = scaled.filter(F.col("part") == "train").select(label, SCALED, *extra)
+    test = scaled.filter(F.col("part") == "test").select(label, SCALED, *extra)
     fitted, rows = {}, []
     try:
         scaled.count()  # filled up front so the per-model clocks time the models
@@ -128,16 +136,19 @@ def train_job(spark: SparkSession, table: DataFrame, config: TrainConfig) -> Run
             est = spec.estimator(SCALED, label)
             if est.hasParam("aggregationDepth"):  # same sums, shallower/deeper reduction tree
                 est = est.copy({est.getParam("aggregationDepth"): depth})
-            model = est.fit(train)
+            if weighted and takes_weights(est):
+                model = est.copy({est.weightCol: WEIGHT}).fit(train)
+            else:
+                model = est.fit(repeated(train, WEIGHT) if weighted else train)
             t1 = time.time()
             scored = model.transform(test)
             preds = scored.select(label, F.col("prediction").cast("int").alias("prediction"),
-                                  positive_probability("rawPrediction").alias("raw_score"))
-            m = ev.evaluate_scores(preds, label, "raw_score", "prediction")
+                                  positive_probability("rawPrediction").alias("raw_score"), *extra)
+            m = ev.evaluate_scores(preds, label, "raw_score", "prediction", WEIGHT if weighted else None)
             if config.auc_bins:
                 m["auc"] = BinaryClassificationEvaluator(
                     labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
-                    numBins=config.auc_bins).evaluate(scored)
+                    numBins=config.auc_bins, **({"weightCol": WEIGHT} if weighted else {})).evaluate(scored)
             t2 = time.time()
             fitted[spec.name] = model
             rows.append({

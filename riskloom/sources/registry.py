@@ -1,13 +1,15 @@
 """Persisting pipelines and run reports.
 
-Pipelines are written with Spark ML's writer (``overwrite`` replaces a previous model
-on any Hadoop-compatible filesystem).  Reports are tidy tables (Parquet) plus one JSON
+A saved pipeline is published: written in full to a folder of its own below ``versions``, then
+named by a small pointer file that is renamed into place.  A reader gets the old model or the
+new one, never a part of either, and a job that dies on the way leaves the old one.  Reports are tidy tables (Parquet) plus one JSON
 document with the reference's report layout.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -21,19 +23,60 @@ from riskloom.errors import CatalogMismatch, ModelUnavailable
 from riskloom.functions.local import local_frame
 
 
+#: The pointer file; versions kept besides the current one, for readers that have just resolved the pointer.
+CURRENT, SPARE_VERSIONS = "CURRENT", 2
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Folder of the model that is published at ``path``; ``path`` itself where a plain saved model lies."""
+    fs, pointer = _file_system(spark, f"{path}/{CURRENT}")
+    if not fs.exists(pointer):
+        return path
+    return f"{path}/versions/{spark.read.text(f'{path}/{CURRENT}').first()[0].strip()}"
+
+
+def _point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Write the pointer beside its place and rename it over the old one (one step on the file system)."""
+    fs, new = _file_system(spark, f"{path}/.{CURRENT}-{version}")
+    out = fs.create(new, True)
+    out.write(bytearray(version.encode("utf-8")))
+    out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(rename, 1)
+    overwrite[0] = rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(new, hadoop.Path(f"{path}/{CURRENT}"), overwrite)
+
+
 def save_pipeline(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+    """Publish a pipeline at ``path``; the one before stays readable until this one is complete, and a while after."""
+    spark = SparkSession.active()
+    fs, versions = _file_system(spark, f"{path}/versions")
+    before = sorted(fs.listStatus(versions), key=lambda s: s.getModificationTime()) if fs.exists(versions) else []
+    current = current_version(spark, path).rpartition("/")[2]
+    version = uuid.uuid4().hex
+    model.write().save(f"{path}/versions/{version}")
+    _point_to(spark, path, version)
+    old = [s.getPath() for s in before if s.getPath().getName() != current]
+    for folder in old[:max(0, len(old) - SPARE_VERSIONS)]:
+        fs.delete(folder, True)
     return path
 
 
 def load_pipeline(path: str, catalog: FeatureCatalog | None = None) -> PipelineModel:
-    """Load a saved pipeline; a missing/broken one raises ``ModelUnavailable``.
+    """Load the pipeline published (or plainly saved) at a path; a missing/broken one raises ``ModelUnavailable``.
 
     With a catalog, the assembler's input columns must equal the catalog's features
     (same names, same order), otherwise ``CatalogMismatch``.
     """
     try:
-        model = PipelineModel.load(path)
+        model = PipelineModel.load(current_version(SparkSession.active(), path))
     except Exception as exc:  # noqa: BLE001 - every load failure means "no model"
         raise ModelUnavailable(f"no loadable pipeline at {path!r}: {exc}") from exc
     if catalog is not None:

@@ -6,8 +6,11 @@ frame on the driver); the catalog check runs on the schema alone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,20 +18,23 @@ from pyspark.errors import AnalysisException
 
 from riskloom.catalog import FeatureCatalog
 from riskloom.errors import CatalogMismatch
+from riskloom.session import scratch_path
 
 
 def _loaded(reader, path: str, fmt: str, catalog: FeatureCatalog, label: bool) -> DataFrame:
     """Rows as they are stored: Parquet under its own types, CSV by header name, JSON by field name.
 
     CSV columns are read as text (no inference pass; a schema would bind them by position) and
-    JSON under numbers for the features and text for keys.
+    JSON under text for every field.  A key that no JSON record holds is no column: the look for
+    one ends at the first record that has it.
     """
     if fmt == "csv":
         return reader.option("header", "true").csv(path)
     if fmt == "json":
         wanted = [*catalog.record_schema().fields, *([T.StructField(catalog.label, T.StringType())] if label else [])]
         # features as text, so that 1, 1.0, "1" and true all arrive
-        return reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])).json(path)
+        df = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])).json(path)
+        return df.drop(*[k for k in catalog.key_cols if df.filter(F.col(k).isNotNull()).isEmpty()])
     return reader.format(fmt).load(path)
 
 
@@ -123,3 +129,35 @@ def records_from_json(df: DataFrame, json_col: str, schema: T.StructType,
     """Parse a JSON string column into typed columns (``from_json``, JVM-side)."""
     parsed = F.from_json(F.col(json_col), schema)
     return df.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
+
+
+#: Rows of a local frame that become one Spark write.
+LOCAL_ROWS = 1 << 16
+
+
+def _slices(frames: pd.DataFrame | pa.Table | Iterable, rows: int) -> Iterator[pa.Table]:
+    """The rows of a frame, or of an iterable of frames, in tables of at most ``rows`` rows."""
+    for frame in [frames] if isinstance(frames, (pd.DataFrame, pa.Table)) else frames:
+        for start in range(0, len(frame), rows):
+            part = frame.iloc[start:start + rows] if isinstance(frame, pd.DataFrame) else frame.slice(start, rows)
+            yield pa.Table.from_pandas(part, preserve_index=False) if isinstance(part, pd.DataFrame) else part
+
+
+def local_table(spark: SparkSession, frames: pd.DataFrame | pa.Table | Iterable, catalog: FeatureCatalog, path: str | None = None,
+                label: bool = True, rows: int = LOCAL_ROWS) -> DataFrame:
+    """A frame of the driver's process as a table of the cluster (S3): keys, features and label of the catalog.
+
+    The rows go out in slices of ``rows``, each cast to the catalog's types and written to the shared
+    folder, and are then scanned like any other table; from an iterable of frames (a reader of
+    chunks) the driver holds one frame at a time, whatever the length of all of them.  A frame
+    without the catalog's columns raises ``CatalogMismatch``; so does one without rows, which
+    has no types to go by.
+    """
+    path = path or scratch_path(spark, "local", uuid.uuid4().hex[:12])
+    mode = "overwrite"
+    for part in _slices(frames, rows):
+        as_records(spark.createDataFrame(part), catalog, label).write.mode(mode).parquet(path)
+        mode = "append"
+    if mode == "overwrite":
+        raise CatalogMismatch("the local frame has no rows")
+    return spark.read.parquet(path)

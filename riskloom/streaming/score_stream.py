@@ -1,7 +1,11 @@
 """Structured Streaming scorer (C2): records arriving as files are scored by the saved
 pipeline and appended to a Parquet sink; records that can't be scored go to a reject sink.
 
-Both queries are stateless (projection only), so they need no watermark; checkpoints and
+``score_stream_once`` does both in one query: each micro-batch is read once and written, split by
+status, to a folder of its own, so that a batch that runs again after a failure replaces what it
+left unfinished and leaves alone what it had finished.
+
+The queries are stateless (projection only), so they need no watermark; checkpoints and
 sinks live under the shared checkpoint folder, which makes a restarted query resume
 exactly where it stopped.  ``available_now`` processes the current backlog and stops.
 """
@@ -12,7 +16,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.catalog import FeatureCatalog
-from riskloom.operators.score import score_with_rejects
+from riskloom.operators.score import score_once, score_with_rejects
 from riskloom.sources.tables import as_records, stored_schema
 
 
@@ -61,3 +65,33 @@ def run_to_completion(spark: SparkSession, source_dir: str, model: PipelineModel
         if query.exception() is not None:
             raise query.exception()
     return spark.read.parquet(f"{sink_dir}/scored"), spark.read.parquet(f"{sink_dir}/rejects")
+
+
+def write_batch(batch: DataFrame, batch_id: int, model: PipelineModel, catalog: FeatureCatalog, sink_dir: str) -> bool:
+    """Score one micro-batch into ``<sink_dir>/batch_id=<n>/status=…``; False if it was there already.
+
+    A folder counts once its job has committed (its ``_SUCCESS`` file); an unfinished one is replaced.
+    """
+    spark = batch.sparkSession
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{sink_dir}/batch_id={batch_id}/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return False
+    rows = score_once(batch, model, catalog)
+    rows.write.mode("overwrite").partitionBy("status").parquet(f"{sink_dir}/batch_id={batch_id}")
+    return True
+
+
+def score_stream_once(spark: SparkSession, source_dir: str, model: PipelineModel, catalog: FeatureCatalog, sink_dir: str,
+                      checkpoint_dir: str, fmt: str = "parquet", available_now: bool = True,
+                      max_files_per_trigger: int | None = None):
+    """Start the one-pass scorer; its ``StreamingQuery``.  ``read_sink`` gives the rows written so far."""
+    records = record_stream(spark, source_dir, catalog, fmt, max_files_per_trigger)
+    writer = (records.writeStream.foreachBatch(lambda batch, n: write_batch(batch, n, model, catalog, sink_dir))
+              .option("checkpointLocation", checkpoint_dir))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()
+
+
+def read_sink(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """Rows of the committed batches: identity, scores, bad_columns, batch_id, status."""
+    return spark.read.parquet(sink_dir)
