@@ -11,6 +11,7 @@ phrase is never more frequent than its parts, so nothing frequent is lost on the
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,10 @@ from riskloom.llm.common import Scratch, pieces, text_bytes
 
 #: Occurrences that make a phrase a candidate; words of a candidate; rows returned for a language.
 THRESHOLD, LONGEST, TOP = 100, 5, 2000
-#: Text of one step of a task, and (hash, count) entries a task holds before it hands them over.
-STEP_BYTES, HELD = 8 << 20, 1 << 22
+#: A summary's capacity is ROOM times the least that serves: what survives by error alone is then 1 / ROOM rarer than wanted.
+ROOM = 8
+#: Text of one step of a task, (hash, count) entries and counted phrases a task holds before it hands them over.
+STEP_BYTES, HELD, HELD_PHRASES = 4 << 20, 1 << 20, 1 << 19
 #: Bits of a bit map: at most 2^26 (8 MB); above some millions of survivors it only lets more through.
 LEAST_BITS, MOST_BITS = 16, 26
 UNDETERMINED = "und"
@@ -196,7 +199,7 @@ def _survivors(texts: DataFrame, least: int, most: int, maps: list[np.ndarray],
     name = f"grams-{least}-{most}"
     written = scratch.table(texts.mapInArrow(runs, "part int, mass long, hashes binary, counts binary"), name)
     # one row per partition: at most 2^part_bits of them
-    capacity = {r["part"]: r["mass"] // threshold + 1 for r in written.groupBy("part").agg(F.sum("mass").alias("mass")).collect()}
+    capacity = {r["part"]: ROOM * r["mass"] // threshold + 1 for r in written.groupBy("part").agg(F.sum("mass").alias("mass")).collect()}
 
     def merged(batches):
         part, summary, waiting, entries = None, None, [], 0
@@ -277,19 +280,27 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     given = spark.sparkContext.broadcast(maps)
 
     def counted(batches):
+        held: Counter = Counter()
         for words in _words(batches):
-            totals = np.bincount(words.lang, minlength=len(words.langs))
-            yield rows(words.langs, [0] * len(totals), [""] * len(totals), totals)
+            for lang, n in zip(words.langs, np.bincount(words.lang, minlength=len(words.langs)).tolist()):
+                held[lang, 0, b""] += n
             for k, at, h in words.grams(1, longest, given.value):
                 first, n = _grouped(words, k, at, h)
                 numbers = [words.number[first + j].tolist() for j in range(k)]
-                phrases = [b" ".join([words.spelled[i] for i in own]) for own in zip(*numbers)]
-                yield rows([words.langs[i] for i in words.lang[first].tolist()], [k] * len(n), phrases, n)
-
-    def rows(langs, ks, phrases, n):
+                langs = [words.langs[i] for i in words.lang[first].tolist()]
+                for lang, own, c in zip(langs, zip(*numbers), n.tolist()):
+                    held[lang, k, b" ".join([words.spelled[i] for i in own])] += c
+            if len(held) > HELD_PHRASES:
+                yield rows(held)
+                held.clear()
+        if held:
+            yield rows(held)
+
+    def rows(held):
+        langs, ks, phrases = zip(*held)
         return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(ks, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
-            names=["lang", "k", "phrase", "f"])
+            [pa.array(langs, pa.string()), pa.array(ks, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()),
+             pa.array(list(held.values()), pa.int64())], names=["lang", "k", "phrase", "f"])
 
     counts = texts.mapInArrow(counted, "lang string, k int, phrase string, f long").groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
     return scratch.table(counts.filter((F.col("f") >= threshold) | ((F.col("k") == 0) & (F.col("f") > 0))), "counts")
