@@ -11,8 +11,7 @@ import argparse
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.catalog import CDC_CATALOG, DOC_QUALITY_CATALOG, RISK_ROWS_CATALOG, FeatureCatalog
 from riskloom.operators.score import REJECTED, SCORED, score_once, score_with_rejects
@@ -42,15 +41,17 @@ class ScoreCounts:
 def score_to(spark: SparkSession, table: DataFrame, model: PipelineModel | str, catalog: FeatureCatalog, path: str) -> ScoreCounts:
     """Score a table into ``path``, split by ``status`` (scored / rejected), and count both: the input is read once.
 
-    The counts are taken on the way to the files (an Observation), not by a second look.
+    The counts come from the footers of the files just written.  (An Observation would take them on the way, but
+    a session that has made one can no longer score with a model fitted in it: the model's training
+    summary drags the session into every task.)
     """
     catalog.check(table)
     pipeline = load_pipeline(model, catalog) if isinstance(model, str) else model
-    seen = Observation()
-    count = lambda status: F.count(F.when(F.col("status") == status, 1))
-    rows = score_once(table, pipeline, catalog).observe(seen, count(SCORED).alias(SCORED), count(REJECTED).alias(REJECTED))
+    rows = score_once(table, pipeline, catalog)
     rows.write.mode("overwrite").partitionBy("status").parquet(path)
-    return ScoreCounts(seen.get[SCORED], seen.get[REJECTED])
+    written = spark.read.schema(rows.schema).parquet(path).groupBy("status").count()
+    found = {r["status"]: r["count"] for r in written.collect()}  # two rows
+    return ScoreCounts(found.get(SCORED, 0), found.get(REJECTED, 0))
 
 
 def main(argv: list[str] | None = None) -> None:
