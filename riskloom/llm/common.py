@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +43,11 @@ class Scratch:
         for name in names:
             self._delete(f"{self.root}/{name}")
 
+    def settle(self) -> None:
+        """Have Spark's cleaner drop shuffle files of finished jobs: it does when the driver collects their plans."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def _delete(self, folder: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -86,3 +93,25 @@ def pieces(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
         step = max(1, int(batch.num_rows * max_bytes / max(batch.nbytes, 1)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+
+
+_BYTES = np.arange(256, dtype=np.uint8)
+LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
+
+
+def cut_words(texts: pa.Array, word_bytes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts (large_binary, no nulls) in turn, A-Z lower-cased, and the number of each word's text.
+
+    A word is a run of bytes that ``word_bytes`` (256 flags) allows; it ends with its text.
+    """
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
+    at = at - at[0]
+    inside, edge = word_bytes[raw], np.zeros(len(raw) + 1, bool)
+    edge[at[:-1]] = True
+    starts = np.flatnonzero(inside & (~np.append(False, inside[:-1]) | edge[:-1]))
+    ends = np.flatnonzero(inside & (~np.append(inside[1:], False) | edge[1:])) + 1
+    offsets = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(LOWER[raw[inside]])])
+    return words, np.searchsorted(at[1:], starts, "right")

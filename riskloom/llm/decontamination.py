@@ -1,9 +1,9 @@
 """Benchmark decontamination with suffix arrays over the training texts.
 
 Every task turns its documents into shards: the words of a run of whole documents and their
-suffix array, into which all suffixes of the benchmark items are sorted.  The neighbours of a suffix
-give its longest verbatim match and its locations; occurrences of windows (10 consecutive
-item words) are the prefixes of such matches.
+suffix array.  The suffixes of the benchmark items are binary-searched in it: the place where a
+suffix belongs gives its longest verbatim match and a location, and the stretch of the array
+whose suffixes begin with a window (10 consecutive item words) gives all its occurrences.
 """
 
 from __future__ import annotations
@@ -16,41 +16,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Scratch, pieces, text_bytes, with_fields
+from riskloom.llm.common import Scratch, cut_words, pieces, with_fields
 
 WINDOW = 10
-#: Words of a shard (a longer document is a shard of its own), and bytes of benchmark text shipped to tasks at once.
-SHARD_WORDS, BLOCK_BYTES = 1 << 19, 8 << 20
-#: Lower-cases A-Z and blanks every byte that no word has; bytes of other than ASCII characters are word bytes.
-_WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
+#: Bytes of text of a shard (a longer document is a shard of its own), and of benchmark text shipped to tasks at once.
+SHARD_BYTES, BLOCK_BYTES = 1 << 20, 8 << 20
+#: Digits, letters and every byte of other than ASCII characters are word bytes.
+WORD_BYTES = np.array([48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c > 127 for c in range(256)])
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.translate(_WORD_BYTES).split() if text else []
+def packed(ids: np.ndarray, bits: int) -> tuple[np.ndarray, int]:
+    """For every position the next words in one integer of 63 bits (0 behind the end), and their number."""
+    length = max(1, 63 // bits)
+    padded = np.concatenate([ids.astype(np.int64), np.zeros(length, np.int64)])
+    key = np.zeros(len(ids) + 1, np.int64)
+    for k in range(length):
+        key = (key << bits) | padded[k:k + len(ids) + 1]
+    return key, length
 
 
-def suffix_array(ids: np.ndarray, depth: int, levels: list | None = None) -> np.ndarray:
+def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``ids`` (positive ints) in the order of their suffixes' first ``depth`` words.
 
     Words are packed into one integer as far as they fit; groups of equal prefixes are then
     sorted again by the rank of what follows, doubling the compared length each time.
-    ``levels`` gets (length, rank of every position by that many words) of each doubling.
     """
     n = len(ids)
-    bits = max(1, int(ids.max(initial=0)).bit_length())
-    length = max(1, 63 // bits)
-    padded = np.concatenate([ids.astype(np.int64), np.zeros(length, np.int64)])
-    key = np.zeros(n, np.int64)
-    for k in range(length):
-        key = (key << bits) | padded[k:k + n]
+    key, length = packed(ids, max(1, int(ids.max(initial=0)).bit_length()))
+    key = key[:n]
     order = np.argsort(key)
     key = key[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
     first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     rank = np.empty(n + 1, np.int64)
     rank[order], rank[n] = first, -1  # the slot at which a suffix's group begins
-    if levels is not None:
-        levels.append((length, rank.astype(np.int32)))
     while length < depth:
         tied = ~new
         tied[:-1] |= ~new[1:]
@@ -66,8 +65,6 @@ def suffix_array(ids: np.ndarray, depth: int, levels: list | None = None) -> np.
         new[slots] = fresh
         rank[at] = np.maximum.accumulate(np.where(fresh, slots, 0))
         length *= 2
-        if levels is not None:
-            levels.append((length, rank.astype(np.int32)))
     return order
 
 
@@ -75,17 +72,17 @@ class Benchmark:
     """The items' words as one flat array (0 behind each item), all their suffixes, and which suffix begins a window."""
 
     def __init__(self, items: Iterable[tuple[str, bytes | None]], window: int):
-        self.items, self.vocabulary = [], {}
-        ids, lengths = [], []
+        names, texts = [], []
         for item, text in items:
-            words = words_of(text)
-            if not words:
-                continue
-            self.items.append(item)
-            ids += [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
-            ids.append(0)
-            lengths.append(len(words))
-        self.ids, lengths = np.array(ids, np.int64), np.array(lengths, np.int64)
+            names.append(item)
+            texts.append(text or b"")
+        words, item_of = cut_words(pa.array(texts, pa.large_binary()), WORD_BYTES)
+        lengths = np.bincount(item_of, minlength=len(names))
+        self.items = [n for n, k in zip(names, lengths.tolist()) if k]
+        lengths = lengths[lengths > 0]
+        words = words.dictionary_encode()
+        self.vocabulary = words.dictionary.to_pylist()
+        self.ids = flat_ids(words.indices.to_numpy(zero_copy_only=False), lengths)
         self.longest = int(lengths.max(initial=0))
         self.suffix_at = np.nonzero(self.ids)[0]
         self.suffix_item, whole = np.repeat(np.arange(len(lengths)), lengths), np.repeat(lengths, lengths)
@@ -96,77 +93,114 @@ class Benchmark:
         self.window_length = np.where(self.suffix_length >= wanted, wanted, 0)
 
 
+def flat_ids(numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Word numbers from 1 on, with a 0 behind the words of each text."""
+    ids = np.zeros(len(numbers) + len(lengths), np.int64)
+    ids[np.arange(len(numbers)) + np.repeat(np.arange(len(lengths)), lengths)] = numbers + 1
+    return ids
+
+
 class Shard:
-    """Words of whole documents, with 0 between them, and their suffix array to the depth of the longest item.
+    """Words of whole documents, with 0 between them, and their suffix array to a depth of so many words.
 
-    The items' suffixes are sorted in with the documents', so each has its place in the array;
-    common words are read off the ranks of the doublings.  All arrays grow with the words only.
+    The items' suffixes are searched in it, 63 bits' worth of words at a time: a step narrows the
+    stretch of the array that agrees so far.  All arrays grow with the shard's and the items' words.
     """
 
-    def __init__(self, documents: Sequence[list[bytes]], bench: Benchmark):
-        number = dict(bench.vocabulary)
-        ids = []
-        for words in documents:
-            ids += [number.setdefault(w, len(number) + 1) for w in words]
-            ids.append(0)
-        self.n = len(ids)
-        self.starts = np.cumsum([0, *(len(w) + 1 for w in documents)])
-        self.ids = np.concatenate([np.array(ids, np.int64), bench.ids])
-        self.levels = []
-        self.sorted = suffix_array(self.ids, bench.longest, self.levels)
-        own = self.sorted < self.n
-        self.order, self.slots = self.sorted[own], np.nonzero(own)[0]
-        place = np.empty(len(bench.ids), np.int64)
-        place[self.sorted[~own] - self.n] = np.nonzero(~own)[0]
-        self.item_slots = place[bench.suffix_at]
-        self.padded = np.append(self.ids, -1)
-
-    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common words of the suffixes at two positions each, exact up to the depth of the array."""
-        n, end = np.zeros(len(a), np.int64), len(self.ids)
-        for length, rank in reversed(self.levels):
-            n += length * (rank[np.minimum(a + n, end)] == rank[np.minimum(b + n, end)])
-        equal = np.ones(len(a), bool)
-        for _ in range(self.levels[0][0] - 1):
-            equal &= self.padded[np.minimum(a + n, end)] == self.padded[np.minimum(b + n, end)]
-            n += equal
-        return n
+    def __init__(self, words: pa.Array, lengths: np.ndarray, bench: Benchmark, depth: int):
+        words = words.dictionary_encode()
+        self.starts = np.cumsum(np.append(0, lengths + 1))
+        self.ids = flat_ids(words.indices.to_numpy(zero_copy_only=False), lengths)
+        self.n = len(self.ids)
+        self.order = suffix_array(self.ids, depth)
+        self.bits = max(1, int(self.ids.max(initial=0)).bit_length())
+        self.keys, self.length = packed(self.ids, self.bits)
+        self.first_keys = self.keys[self.order]
+        number = {w: i + 1 for i, w in enumerate(words.dictionary.to_pylist())}
+        known = np.fromiter((number.get(w, 0) for w in bench.vocabulary), np.int64, len(bench.vocabulary))
+        asked = np.append(0, known)[bench.ids]  # the items in the shard's numbers, 0 for words that it hasn't
+        self.item_keys = packed(asked, self.bits)[0]
+        ends = np.append(np.nonzero(asked == 0)[0], len(asked))
+        at = bench.suffix_at
+        self.known = ends[np.searchsorted(ends, at)] - at  # words of each suffix before the first that the shard hasn't
+
+    def _bisect(self, low: np.ndarray, high: np.ndarray, step: int, key: np.ndarray, right: bool) -> np.ndarray:
+        """Within each stretch, whose suffixes agree before word ``step``, the place of a key for what follows."""
+        if not step:
+            return np.searchsorted(self.first_keys, key, "right" if right else "left")
+        low, high = low.copy(), high.copy()
+        open_ = np.nonzero(low < high)[0]
+        while len(open_):
+            middle = (low[open_] + high[open_]) >> 1
+            there = self.keys[np.minimum(self.order[middle] + step, self.n)]
+            up = there <= key[open_] if right else there < key[open_]
+            low[open_[up]], high[open_[~up]] = middle[up] + 1, middle[~up]
+            open_ = open_[low[open_] < high[open_]]
+        return low
+
+    def _narrowed(self, low, high, step, at, words):
+        """(low, high) of the suffixes that agree with ``words`` more words of the items at positions ``at``."""
+        rest = self.bits * (self.length - np.minimum(words, self.length))
+        key = (self.item_keys[np.minimum(at + step, len(self.item_keys) - 1)] >> rest) << rest
+        return (self._bisect(low, high, step, key, right=False), self._bisect(low, high, step, key | ((np.int64(1) << rest) - 1), right=True)), key
 
     def longest_matches(self, bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
         """For every suffix its longest verbatim match in words, and a location of it (document words)."""
-        if not len(bench.suffix_at) or not self.n:
-            return np.zeros(len(bench.suffix_at), np.int64), np.zeros(len(bench.suffix_at), np.int64)
-        at = np.searchsorted(self.slots, self.item_slots)
-        length, where = np.full(len(at), -1), np.zeros(len(at), np.int64)
-        for slot in (np.maximum(at - 1, 0), np.minimum(at, self.n - 1)):
-            common = np.minimum(self.common(bench.suffix_at + self.n, self.order[slot]), bench.suffix_length)
-            better = common > length
-            length[better], where[better] = common[better], self.order[slot][better]
-        return length, where
-
-    def occurrences(self, bench: Benchmark, longest: np.ndarray):
+        longest, where = np.zeros(len(bench.suffix_at), np.int64), np.zeros(len(bench.suffix_at), np.int64)
+        open_, step = np.nonzero(self.known > 0)[0] if self.n else np.zeros(0, np.int64), 0
+        low, high = np.zeros(len(open_), np.int64), np.full(len(open_), self.n)
+        while len(open_):
+            at, words = bench.suffix_at[open_], self.known[open_] - step
+            (new_low, new_high), key = self._narrowed(low, high, step, at, words)
+            found = new_low < new_high
+            longest[open_[found]] = step + np.minimum(words, self.length)[found]
+            where[open_[found]] = self.order[new_low[found]]
+            # no suffix has all of these words: the neighbours of their place have most of them
+            lost = np.nonzero(~found)[0]
+            for slot in (new_low[lost] - 1, new_low[lost]):
+                inside = (slot >= low[lost]) & (slot < high[lost])
+                who, slot = lost[inside], slot[inside]
+                differ = self.keys[np.minimum(self.order[slot] + step, self.n)] ^ key[who]
+                common, same = np.zeros(len(who), np.int64), np.ones(len(who), bool)
+                for k in range(self.length):
+                    same &= (differ >> (self.bits * (self.length - 1 - k))) == 0
+                    common += same
+                common = step + np.minimum(common, words[who])
+                better = common > longest[open_[who]]
+                longest[open_[who[better]]], where[open_[who[better]]] = common[better], self.order[slot[better]]
+            more = found & (words > self.length)
+            open_, low, high, step = open_[more], new_low[more], new_high[more], step + self.length
+        return longest, where
+
+    def occurrences(self, bench: Benchmark):
         """(positions, length, suffixes) of every window that occurs."""
-        found = np.nonzero((bench.window_length > 0) & (longest >= bench.window_length))[0]
-        if not len(found):
-            return
-        shared = self.common(self.sorted[:-1], self.sorted[1:])
-        for length in np.unique(bench.window_length[found]):
-            group = np.concatenate([[0], np.cumsum(shared < length)])  # of suffixes that begin with the same words
-            suffixes = found[bench.window_length[found] == length]
-            suffixes = suffixes[np.argsort(group[self.item_slots[suffixes]], kind="stable")]
-            of_suffix, of_word = group[self.item_slots[suffixes]], group[self.slots]
-            for g in np.unique(of_suffix):
-                low, high = np.searchsorted(of_word, (g, g + 1))
-                first, last = np.searchsorted(of_suffix, (g, g + 1))
-                yield np.sort(self.order[low:high]), int(length), suffixes[first:last]
+        found = np.nonzero((bench.window_length > 0) & (self.known >= bench.window_length))[0]
+        low, high, step = np.zeros(len(found), np.int64), np.full(len(found), self.n), 0
+        while True:
+            words = bench.window_length[found] - step
+            more = np.nonzero((words > 0) & (low < high))[0]
+            if not len(more):
+                break
+            (low[more], high[more]), _ = self._narrowed(low[more], high[more], step, bench.suffix_at[found[more]], words[more])
+            step += self.length
+        some = low < high
+        found, low, high = found[some], low[some], high[some]
+        if len(found):
+            # windows with the same words have the same stretch
+            length = bench.window_length[found]
+            by = np.lexsort((length, high, low))
+            found, low, high, length = found[by], low[by], high[by], length[by]
+            new = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (length[1:] != length[:-1])])
+            heads = np.append(np.nonzero(new)[0], len(found))
+            for s, e in zip(heads, heads[1:]):
+                yield np.sort(self.order[low[s]:high[s]]), int(length[s]), found[s:e]
 
 
 def _hits(shard: Shard, bench: Benchmark, n_docs: int):
-    """By document with a hit: (item numbers, start and end of the merged hit stretches, longest match, where)."""
-    longest, where = shard.longest_matches(bench)
+    """By document with a hit: (item numbers, start and end of the merged hit stretches)."""
     covered = np.zeros(shard.n + 1, np.int64)
     items = [set() for _ in range(n_docs)]
-    for at, length, suffixes in shard.occurrences(bench, longest):
+    for at, length, suffixes in shard.occurrences(bench):
         np.add.at(covered, at, 1)
         np.add.at(covered, at + length, -1)
         owners = np.unique(bench.suffix_item[suffixes]).tolist()
@@ -242,13 +276,14 @@ def _search(rows: DataFrame, kept: list[str], items: DataFrame, window: int, blo
 
         def search(batches):
             bench = given.value
-            for own, words in _shards(batches, carried):
-                shard = Shard(words, bench)
-                found, spans = [[] for _ in words], [[] for _ in words]
-                for d, numbers, start, end in _hits(shard, bench, len(words)):
+            depth = int(bench.window_length.max(initial=1))
+            for own, words, lengths in _shards(batches, carried):
+                shard = Shard(words, lengths, bench, depth)
+                found, spans = [[] for _ in lengths], [[] for _ in lengths]
+                for d, numbers, start, end in _hits(shard, bench, len(lengths)):
                     found[d] = sorted(bench.items[i] for i in numbers)
                     spans[d] = [{"start": s, "end": e} for s, e in zip(start.tolist(), end.tolist())]
-                more = [pa.array([len(w) for w in words], pa.int64()), pa.array(found, pa.list_(pa.string())),
+                more = [pa.array(lengths, pa.int64()), pa.array(found, pa.list_(pa.string())),
                         pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
                 yield pa.RecordBatch.from_arrays([*own.columns, *more], names=schema.names)
 
@@ -290,8 +325,8 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
         def match(batches, given=given):
             bench = given.value
             names = pa.array([bench.items[i] for i in bench.suffix_item], pa.string())
-            for own, words in _shards(batches, ["id"]):
-                shard = Shard(words, bench)
+            for own, words, lengths in _shards(batches, ["id"]):
+                shard = Shard(words, lengths, bench, bench.longest)
                 length, where = shard.longest_matches(bench)
                 at = np.searchsorted(shard.starts, where, "right") - 1
                 yield pa.RecordBatch.from_arrays(
@@ -324,19 +359,8 @@ def _merged(spans):
 
 
 def _shards(batches, carried: Sequence[str]):
-    """(carried columns, words) of whole documents, about SHARD_WORDS words at a time."""
-    held, words, n = [], [], 0
-    for batch in pieces(batches, 2 << 20):
-        texts = [words_of(t) for t in text_bytes(batch.column("text"))]
-        held.append(batch.select(list(carried)))
-        words += texts
-        n += sum(map(len, texts)) + len(texts)
-        if n >= SHARD_WORDS:
-            yield _one(held), words
-            held, words, n = [], [], 0
-    if held:
-        yield _one(held), words
-
-
-def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+    """(carried columns, words in turn, words of each document) of runs of whole documents, about SHARD_BYTES each."""
+    for batch in pieces(batches, SHARD_BYTES):
+        texts = batch.column("text").cast(pa.large_string()).cast(pa.large_binary()).fill_null(b"")
+        words, doc = cut_words(texts, WORD_BYTES)
+        yield batch.select(list(carried)), words, np.bincount(doc, minlength=batch.num_rows)
