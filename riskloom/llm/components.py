@@ -17,8 +17,8 @@ def _towards(edges: DataFrame, neighbours: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b longs); component is the smallest node.
 
-    The edge list is a written table in every round; its number of rows never grows, and the
-    rounds needed grow with the logarithm of the longest path.
+    The edge list is a written table in every round, of which the last, ``name``-<round>, stays; its
+    number of rows never grows, and the rounds needed grow with the logarithm of the longest path.
     """
     def tidy(df: DataFrame, step: int) -> DataFrame:
         pair = df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct()
@@ -40,6 +40,7 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataF
             small.select("u", F.col("m").alias("v")))
         current = tidy(small, step)
         now = digest(current)
+        scratch.remove(f"{name}-{step - 1}")
         if now == before:
             break
         before = now

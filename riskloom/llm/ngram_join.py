@@ -197,12 +197,14 @@ class NgramJaccard:
         for turn in range(BEST_FIRST):
             best = self._unlinked(cells, component, f"best-{turn}", best=True).join(tried, ["a", "b"], "left_anti")
             best = table(best, f"best-pairs-{turn}")
+            self.scratch.remove(f"best-{turn}-cells")
             found = self._links(best, f"best-{turn}")
             links, tried = links.unionByName(found), tried.unionByName(best)
             if found.isEmpty():
                 break
             component = connected_components(links, self.scratch, f"best-joined-{turn}")
-        rest = self._unlinked(cells, component, "rest").join(tried, ["a", "b"], "left_anti")
+        rest = table(self._unlinked(cells, component, "rest").join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+        self.scratch.remove("rest-cells", "cells")
         links = links.unionByName(self._links(rest, "rest"))
         component = connected_components(links, self.scratch, "joined")
         nodes = self.nodes.select("node", "digest", "rep_id").join(component, "node", "left").withColumn(
@@ -291,7 +293,12 @@ class NgramJaccard:
                     same.append(100 * common >= percent * ((len(a) + len(b)) // 8 - common))
                 yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
-        return self.scratch.table(pairs.select("a", "b", "s_a", "s_b").mapInArrow(verify, "a long, b long"), name)
+        found = self.scratch.table(pairs.select("a", "b", "s_a", "s_b").mapInArrow(verify, "a long, b long"), name)
+        self.scratch.remove(f"{name}-bounded", f"{name}-wanted", f"{name}-shingles")
+        shared.unpersist()
+        del pairs, wanted, sets
+        self.scratch.settle()
+        return found
 
     def _unlinked(self, cells: DataFrame, joined: DataFrame, name: str, best: bool = False) -> DataFrame:
         """(a, b) of different components that share a cell and survive its tree; for each b only the best if asked."""
@@ -333,24 +340,19 @@ class NgramJaccard:
                     yield grouped(np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), bound)
 
         def grouped(a, b, bound):
-            """A row for each b: its candidates, or the one with the highest bound."""
+            """The candidates found in one piece of a cell; for each b the one with the highest bound only, if asked."""
             order = np.lexsort((a, -bound, b))
             a, b, bound = a[order], b[order], bound[order]
-            start = np.concatenate([[0], np.nonzero(np.diff(b))[0] + 1])
             if best:
-                a, bound, ends = a[start], bound[start], np.arange(len(start) + 1)
-            else:
-                bound, ends = bound[start], np.append(start, len(a))
-            return pa.RecordBatch.from_arrays([pa.array(b[start]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(a)),
-                                               pa.array(bound)], names=["b", "a", "bound"])
+                start = np.concatenate([[0], np.nonzero(np.diff(b))[0] + 1])
+                a, b, bound = a[start], b[start], bound[start]
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(bound)], names=["a", "b", "bound"])
 
-        found_ = rows.mapInArrow(search, "b long, a array<long>, bound long")
+        found_ = rows.mapInArrow(search, "a long, b long, bound long")
         if best:
-            top = F.max(F.struct("bound", (-F.col("a")[0]).alias("a"))).alias("top")
+            top = F.max(F.struct("bound", (-F.col("a")).alias("a"))).alias("top")
             return found_.groupBy("b").agg(top).select((-F.col("top.a")).alias("a"), "b")
-        # a pair shares many cells: candidates of a set are united before they become rows
-        lists = found_.groupBy("b").agg(F.array_distinct(F.flatten(F.collect_list("a"))).alias("a"))
-        return lists.select(F.explode("a").alias("a"), "b")
+        return found_.select("a", "b").distinct()  # a pair shares many cells
 
 
 def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -369,30 +371,34 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs``, all columns: of each component the one with the smallest id, and rows without words.
+    """The rows of ``docs``, all columns, whatever their names: of each component the one with the smallest id, and
+    rows without words.
 
     Where that id is repeated within its component, one of its rows stays.
     """
-    join = NgramJaccard(docs, id_col, text_col, percent)
+    names = [f"column {i}" for i in range(len(docs.columns))]
+    of, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    renamed = docs.toDF(*names)
+    join = NgramJaccard(renamed, of, text, percent)
     held = join.sets.filter("n > 0").groupBy("id", "digest").agg(F.count("*").alias("rows")).join(join.classes, "digest")
     held = join.scratch.table(held, "held")
     first = held.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("best"))
     held = held.join(first, "component")
     gone = held.filter(~(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))))
     gone = gone.select(F.col("id").alias("gone id"), F.col("digest").alias("gone digest"))
-    schema = with_fields(docs.schema, "`set digest` binary")
+    schema = with_fields(renamed.schema, "`set digest` binary")
 
     def digests(batches):
         known_words = _WordHash()
         for batch in pieces(batches, 2 << 20):
             found = [xxhash.xxh128_digest(u.tobytes()) if len(u) else None
-                     for u in shingle_sets(text_bytes(batch.column(text_col)), known_words)]
+                     for u in shingle_sets(text_bytes(batch.column(text)), known_words)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=schema.names)
 
-    rows = docs.mapInArrow(digests, schema)
-    kept = rows.join(gone, rows[id_col].eqNullSafe(F.col("gone id")) & (F.col("set digest") == F.col("gone digest")), "left_anti")
-    if held.filter("rows > 1").isEmpty():
-        return kept.select(*docs.columns)
-    # repeated rows: one of each that has words
-    once = kept.filter(F.col("set digest").isNotNull()).dropDuplicates([id_col, "set digest"])
-    return once.unionByName(kept.filter(F.col("set digest").isNull())).select(*docs.columns)
+    rows = renamed.mapInArrow(digests, schema)
+    kept = rows.join(gone, rows[of].eqNullSafe(F.col("gone id")) & (F.col("set digest") == F.col("gone digest")), "left_anti")
+    if not held.filter("rows > 1").isEmpty():
+        # repeated rows: one of each that has words
+        once = kept.filter(F.col("set digest").isNotNull()).dropDuplicates([of, "set digest"])
+        kept = once.unionByName(kept.filter(F.col("set digest").isNull()))
+    return kept.select(*names).toDF(*docs.columns)
