@@ -12,6 +12,7 @@ import base64
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +23,20 @@ from riskloom.llm.common import Scratch, held_out, pieces, with_fields
 
 #: A public byte-level vocabulary for many languages; one base64 piece and its rank a line.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-#: Longest part of a word (bytes, with its leading space) over which segmentations are summed; longer words go in parts.
-LONGEST_WORD = 32
+#: Words of up to so many bytes (with their leading space) are handled together by length; longer ones one by one.
+GROUPED_WORD = 32
+#: Positions of a long word whose pieces are looked up at a time.
+STRETCH = 1 << 14
+#: Least probability of a word or of a byte of a long word (a word may have no segmentation at all).
+LEAST = 1e-300
 #: EM rounds, and the count added to every piece of every language.
 ROUNDS, PRIOR_COUNT = 2, 0.1
 #: Tokens whose likelihoods a task remembers, and distinct tokens it counts before it hands them on.
 REMEMBERED, COUNTED = 200_000, 200_000
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
+#: What a piece of a word may look like: lower-case letters and bytes of other letters, behind a space or not.
+LETTERS = re.compile(rb" ?[a-z\x80-\xff]*")
 
 
 def read_vocabulary(path: str) -> list[bytes]:
@@ -45,6 +52,10 @@ def tokens_of(text: str | None) -> list[str]:
 
 def words_of(token: str) -> list[str]:
     """Runs of letters in a token; none if it has no letter."""
+    if token.isalpha():
+        return [token]
+    if token[-1] in ".,;:!?" and token[:-1].isalpha():
+        return [token[:-1]]
     return [w for w in WORD.findall(token) if any(map(str.isalpha, w))]
 
 
@@ -56,7 +67,9 @@ def spelled(words: Sequence[str]) -> list[bytes]:
 class Lattice:
     """Forward and backward sums over all segmentations of words into pieces.
 
-    Words of one length are handled together.  Pieces are found by a rolling hash of the
+    Words of one length are handled together; a word of more than GROUPED_WORD bytes by itself, in
+    logarithms, with a window as wide as the longest piece, so that a text without spaces
+    is one lattice, however long.  Pieces are found by a rolling hash of the
     bytes, in an open hash table (linear probing) of the pieces' hashes.
     """
 
@@ -64,7 +77,7 @@ class Lattice:
         self.size = len(vocabulary)
         by_length = defaultdict(list)
         for i, p in enumerate(vocabulary):
-            if 0 < len(p) <= LONGEST_WORD:
+            if p and LETTERS.fullmatch(p):  # a word has no other bytes
                 by_length[len(p)].append(i)
         self.reach = max(by_length, default=1)
         self.bits = max(4, (8 * sum(map(len, by_length.values()))).bit_length())
@@ -91,10 +104,20 @@ class Lattice:
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece of each hash, -1 where there is none."""
-        slot, out = self._slot(h), np.full(len(h), -1, np.int32)
-        for k in range(self.probes):
-            at = (slot + k) & ((1 << self.bits) - 1)
-            out = np.where(self.hashes[at] == h, self.ids[at], out)
+        slot = self._slot(h)
+        ids = self.ids[slot]
+        other = np.flatnonzero((ids >= 0) & (self.hashes[slot] != h))  # few: most slots are empty or right
+        out = ids.copy()
+        out[other] = -1
+        for _ in range(1, self.probes):
+            if not len(other):
+                break
+            slot[other] = (slot[other] + 1) & ((1 << self.bits) - 1)
+            at = slot[other]
+            same = self.hashes[at] == h[other]
+            hit = same & (self.ids[at] >= 0)
+            out[other[hit]] = self.ids[at[hit]]
+            other = other[~same & (self.ids[at] >= 0)]
         return out
 
     def grouped(self, words: Sequence[bytes]) -> Iterator[tuple[np.ndarray, dict[tuple[int, int], np.ndarray]]]:
@@ -126,24 +149,59 @@ class Lattice:
 
     def log_likelihoods(self, words: Sequence[bytes], p: np.ndarray) -> np.ndarray:
         """(words, languages) log-probabilities, each summed over all segmentations."""
-        parts = [w[k:k + LONGEST_WORD] for w in words for k in range(0, len(w), LONGEST_WORD)]
-        if not parts:
-            return np.zeros((0, p.shape[1]))
-        out = np.empty((len(parts), p.shape[1]))
-        for at, spans in self.grouped(parts):
-            out[at] = np.log(np.maximum(self.forward(len(parts[at[0]]), spans, p)[-1], 1e-300))
-        if len(parts) == len(words):
-            return out
-        n_parts = np.fromiter((-(-len(w) // LONGEST_WORD) for w in words), np.int64, len(words))
-        return np.add.reduceat(out, np.cumsum(n_parts) - n_parts, axis=0)
+        out = np.empty((len(words), p.shape[1]))
+        short = [i for i, w in enumerate(words) if len(w) <= GROUPED_WORD]
+        for at, spans in self.grouped([words[i] for i in short]):
+            if spans:
+                n = len(words[short[at[0]]])
+                found = self.forward(n, spans, p)[-1]
+            else:
+                found = np.zeros((len(at), p.shape[1]))
+            out[np.array(short)[at]] = np.log(np.maximum(found, LEAST))
+        if len(short) < len(words):
+            log_p = self._logs(p)
+            for i, w in enumerate(words):
+                if len(w) > GROUPED_WORD:
+                    out[i] = self._long(w, log_p)[-1]
+        return out
+
+    @staticmethod
+    def _logs(p: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore"):
+            return np.log(p)
+
+    def _stretch(self, word: np.ndarray, start: int) -> np.ndarray:
+        """The piece of each length (columns) that begins at each of the next STRETCH positions (rows), -1 for none."""
+        n = min(STRETCH, len(word) - start)
+        part = np.append(word[start:start + n + self.reach], np.zeros(self.reach, np.uint64))
+        h, ids = np.zeros(n, np.uint64), np.full((n, self.reach + 1), -1, np.int32)
+        for k in range(1, self.reach + 1):
+            h = self._roll(h, part[k - 1:k - 1 + n])
+            inside = max(0, min(n, len(word) - start - k + 1))
+            ids[:inside, k] = self.find(h[:inside])
+        return ids
+
+    def _long(self, word: bytes, log_p: np.ndarray) -> np.ndarray:
+        """(len + 1, columns) logs of the sums over segmentations of each prefix; log_p: pieces + 1 rows, the last -inf."""
+        alpha = np.full((len(word) + 1, log_p.shape[1]), -np.inf)
+        alpha[0] = 0
+        letters = np.frombuffer(word, np.uint8).astype(np.uint64)
+        for start in range(0, len(word), STRETCH):
+            for row, own in enumerate(self._stretch(letters, start)):
+                k = np.flatnonzero(own >= 0)
+                if len(k):
+                    at = start + row
+                    alpha[at + k] = np.logaddexp(alpha[at + k], alpha[at] + log_p[own[k]])
+        return np.maximum(alpha, np.log(LEAST) * max(1, len(word)))
 
     def expected_counts(self, words: Sequence[bytes], language: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
         """(pieces, languages): how often each piece is used, over all segmentations of the counted words."""
-        owner = [(i, w[k:k + LONGEST_WORD]) for i, w in enumerate(words) for k in range(0, len(w), LONGEST_WORD)]
-        index, parts = np.array([i for i, _ in owner]), [w for _, w in owner]
         langs, out = p.shape[1], np.zeros((p.shape[0] - 1) * p.shape[1])
-        for at, spans in self.grouped(parts):
-            length, lang, times = len(parts[at[0]]), language[index[at]], n[index[at]]
+        short = np.array([i for i, w in enumerate(words) if len(w) <= GROUPED_WORD], np.int64)
+        for at, spans in self.grouped([words[i] for i in short]):
+            if not spans:
+                continue
+            length, lang, times = len(words[short[at[0]]]), language[short[at]], n[short[at]]
             own = {k: p[ids, lang] for k, ids in spans.items()}
             alpha = [np.zeros(len(at)) for _ in range(length + 1)]
             beta = [np.zeros(len(at)) for _ in range(length + 1)]
@@ -152,13 +210,39 @@ class Lattice:
                 alpha[e] += alpha[s] * own[s, e]
             for s, e in sorted(own, reverse=True):
                 beta[s] += own[s, e] * beta[e]
-            scale = np.where(alpha[length] > 0, times / np.maximum(alpha[length], 1e-300), 0)
+            scale = np.where(alpha[length] > 0, times / np.maximum(alpha[length], LEAST), 0)
+            places, uses = [], []  # all spans together: one count over the pieces for each length of words
             for (s, e), ids in spans.items():
-                used = alpha[s] * own[s, e] * beta[e] * scale
-                hit = ids >= 0
-                out += np.bincount(ids[hit] * langs + lang[hit], used[hit], len(out))
+                hit = np.flatnonzero(ids >= 0)
+                places.append(ids[hit] * langs + lang[hit])
+                uses.append((alpha[s] * own[s, e] * beta[e] * scale)[hit])
+            out += np.bincount(np.concatenate(places), np.concatenate(uses), len(out))
+        if len(short) < len(words):
+            log_p = self._logs(p)
+            for i, w in enumerate(words):
+                if len(w) > GROUPED_WORD:
+                    self._count_long(w, int(language[i]), float(n[i]), log_p, out)
         return out.reshape(-1, langs)
 
+    def _count_long(self, word: bytes, lang: int, times: float, log_p: np.ndarray, out: np.ndarray) -> None:
+        """Adds the expected uses of pieces in one long word to ``out`` (pieces x languages, flat)."""
+        langs, own_p = log_p.shape[1], log_p[:, lang:lang + 1]
+        alpha = self._long(word, own_p)[:, 0]
+        beta = np.full(len(word) + 1, -np.inf)
+        beta[-1] = 0
+        if alpha[-1] <= np.log(LEAST) * len(word):
+            return
+        letters = np.frombuffer(word, np.uint8).astype(np.uint64)
+        for start in reversed(range(0, len(word), STRETCH)):
+            ids = self._stretch(letters, start)
+            for row in range(len(ids) - 1, -1, -1):
+                k = np.flatnonzero(ids[row] >= 0)
+                if len(k):
+                    at = start + row
+                    through = own_p[ids[row, k], 0] + beta[at + k]
+                    beta[at] = np.logaddexp.reduce(through)
+                    np.add.at(out, ids[row, k] * langs + lang, times * np.exp(alpha[at] + through - alpha[-1]))
+
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) → (lang, word, n)."""
@@ -246,6 +330,19 @@ def _token_rows(tokens: Sequence[str], lattice: Lattice, p: np.ndarray) -> np.nd
     return out
 
 
+def _summed(texts: list[list[str]], known: dict[str, int], table: np.ndarray) -> np.ndarray:
+    """For each text the sum of its tokens' rows of ``table``, some megabytes of rows at a time."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    row = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
+    owner, out = np.repeat(np.arange(len(texts)), lengths), np.zeros((len(texts), table.shape[1]))
+    step = max(1, (1 << 22) // table.shape[1])
+    for s in range(0, len(row), step):
+        own = owner[s:s + step]
+        heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        out[own[heads]] += np.add.reduceat(table[row[s:s + step]], heads, axis=0)
+    return out
+
+
 def score_languages(docs: DataFrame, model: PieceModel, lattice: Lattice, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (the posterior of lang_pred) behind its own columns.
 
@@ -269,14 +366,15 @@ def score_languages(docs: DataFrame, model: PieceModel, lattice: Lattice, text_c
                 known.update(zip(new, range(len(table), len(table) + len(new))))
                 table = np.vstack([table, _token_rows(new, own, m.p)])
             lang, value = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            for i, tokens in enumerate(texts):
-                if tokens:
-                    row = table[np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))].sum(axis=0)
-                    if row[width]:
-                        log_p = row[:width] + m.log_prior
-                        odds = np.exp(log_p - log_p.max())
-                        best = int(odds.argmax())
-                        lang[i], value[i] = m.languages[best], odds[best] / odds.sum()
+            sums = _summed(texts, known, table)
+            some = np.flatnonzero(sums[:, width])
+            if len(some):
+                log_p = sums[some, :width] + m.log_prior
+                odds = np.exp(log_p - log_p.max(axis=1, keepdims=True))
+                best = odds.argmax(axis=1)
+                value[some] = odds[np.arange(len(some)), best] / odds.sum(axis=1)
+                for i, k in zip(some.tolist(), best.tolist()):
+                    lang[i] = m.languages[k]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(value)],
                                              names=[*batch.schema.names, "lang_pred", "score"])
 
