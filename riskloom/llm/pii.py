@@ -47,8 +47,9 @@ CONTEXT = 16  # characters on either side
 BLOCK = 256  # matches whose offsets are summed in one go
 FEATURES = ("kind", "digits", "length", "marks", "letters", "plus", "paren", "checksum", "octets", "dots",
             "before", "after", "digits_before", "named_other", "named_kind", "tail", "tail_lower", "tail_upper")
-#: Labelled candidates for the trees (a hash sample, so bounded at any size), of which a fifth calibrates thresholds.
-SAMPLE, TREES, DEPTH, PRECISION, SEED = 20_000, 12, 3, 0.99, 7
+#: Trees and the folds that calibrate thresholds; all labelled candidates serve for both.
+FOLDS, TREES, DEPTH, PRECISION, SEED = 3, 12, 3, 0.99, 7
+CELLS = 50_000  # different labelled candidates of one partition
 
 
 def _once(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -195,33 +196,44 @@ def parse_tree(text: str) -> dict:
     return node(0)[0]
 
 
-def fit_trees(candidates: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Trees | None:
-    """From (kind, base, well, x): labels are the format checks; None without labelled candidates.
+def _boosted(train: DataFrame) -> Trees:
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=64, weightCol="n").fit(train)
+    return Trees([(float(w), parse_tree(t.toDebugString)) for w, t in zip(model.treeWeights, model.trees)], {})
 
-    A kind's threshold is the lowest score at or above which calibration candidates reach
-    ``precision``, at least 0.5; a kind with none to calibrate accepts nothing.
+
+def fit_trees(candidates: DataFrame, precision: float = PRECISION) -> Trees | None:
+    """From (id, start, end, kind, base, well, x): labels are the format checks; None without labelled candidates.
+
+    Candidates that agree in kind, features and label are one row with their number as weight, so
+    the trees are fitted on all of them.  Every candidate calibrates, too: it is scored by trees that
+    were fitted without its fold, and a kind's threshold is the lowest score at or above which
+    these reach ``precision``, at least 0.5; a kind with none to calibrate accepts nothing.
     """
-    labelled = candidates.withColumn("label", F.col("well").cast("double"))
-    total = labelled.count()
-    if not total:
+    fold = F.pmod(F.xxhash64(F.lit(SEED), "id", "start", "end", "kind", "base"), F.lit(FOLDS)).cast("int")
+    by = ["kind", "x", "label", "part"]
+    cells = candidates.select("kind", "x", F.col("well").cast("double").alias("label"), fold.alias("part"))
+    cells = cells.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("n")).persist()
+    sizes = {r["part"]: r["count"] for r in cells.groupBy("part").count().collect()}
+    if not sizes:
+        cells.unpersist()
         return None
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "id", "start", "end", "kind", "base"), F.lit(1 << 30)) / float(1 << 30)
-    labelled = labelled.withColumn("draw", draw).filter(F.col("draw") < min(1.0, sample / total))
-    labelled = labelled.withColumn("part", F.pmod(F.xxhash64("draw"), F.lit(5))).select("kind", "x", "label", "part")
-    train = labelled.filter("part > 0").select(array_to_vector("x").alias("features"), "label")
-    train = train.repartition(4).persist()
-    if train.isEmpty():
-        train = labelled.select(array_to_vector("x").alias("features"), "label")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=64).fit(train)
-    trees = Trees([(float(w), parse_tree(t.toDebugString)) for w, t in zip(model.treeWeights, model.trees)], {})
-    train.unpersist()
-    held = labelled.filter("part = 0").select("kind", F.round(trees.score(F.col("x")), 3).alias("score"), "label")
-    steps = held.groupBy("kind", "score").agg(F.sum("label").alias("right"), F.count("*").alias("n")).collect()  # 1,001 scores a kind
+    order = F.xxhash64(*by)
+    laid = cells.repartition(-(-sum(sizes.values()) // CELLS), order).sortWithinPartitions(order, *by)
+    laid = laid.withColumn("features", array_to_vector("x")).persist()
+    trees = _boosted(laid)
+    cells.unpersist()
+    steps = []
+    for part in sizes:
+        without = _boosted(laid.filter(F.col("part") != part)) if len(sizes) > 1 else trees
+        held = laid.filter(F.col("part") == part).select("kind", F.round(without.score(F.col("x")), 3).alias("score"), "label", "n")
+        steps += held.groupBy("kind", "score").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n")).collect()  # 1,001 scores a kind
+    laid.unpersist()
     for kind in range(len(KINDS)):
         right = n = 0
-        for r in sorted((r for r in steps if r["kind"] == kind and r["score"] >= 0.5), key=lambda r: -r["score"]):
+        own = sorted((r for r in steps if r["kind"] == kind and r["score"] >= 0.5), key=lambda r: -r["score"])
+        for i, r in enumerate(own):
             right, n = right + r["right"], n + r["n"]
-            if right >= precision * n:
+            if (i + 1 == len(own) or own[i + 1]["score"] < r["score"]) and right >= precision * n:
                 trees.thresholds[kind] = max(0.5, r["score"] - 0.0005)
     return trees
 
