@@ -50,7 +50,7 @@ def score_stream(
     records = record_stream(spark, source_dir, catalog, fmt, max_files_per_trigger)
     queries = []
     for name, rows in zip(("scored", "rejects"), score_with_rejects(records, model, catalog)):
-        writer = (rows.writeStream.format("parquet").outputMode("append")
+        writer = (rows.writeStream.format("parquet").outputMode("append").option("compression", "zstd")
                   .option("checkpointLocation", f"{checkpoint_dir}/{name}").option("path", f"{sink_dir}/{name}"))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
         queries.append(writer.start())
@@ -77,7 +77,7 @@ def write_batch(batch: DataFrame, batch_id: int, model: PipelineModel, catalog:
     if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
         return False
     rows = score_once(batch, model, catalog)
-    rows.write.mode("overwrite").partitionBy("status").parquet(f"{sink_dir}/batch_id={batch_id}")
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("status").parquet(f"{sink_dir}/batch_id={batch_id}")
     return True
 
 
