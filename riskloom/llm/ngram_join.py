@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Scratch, pieces, text_bytes, with_fields
+from riskloom.llm.common import NO_SPACE, Scratch, cut_words, pieces, with_fields, word_hashes
 from riskloom.llm.components import connected_components
 
 SHINGLE, PERCENT = 4, 85
@@ -32,17 +33,9 @@ COORDINATES, FAN_OUT, CELL = 256, 16, 4096
 BEST_FIRST, MAP_BITS = 2, 23
 #: Sets of fewer than 2**SMALL shingles are grouped so finely that nearly every shingle is a group.
 SMALL, FINE_BITS = 7, 16
-#: Distinct words whose hashes a task remembers.
-REMEMBERED = 300_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(29))) * _K
     return h ^ (h >> np.uint64(32))
@@ -55,17 +48,14 @@ def _chain(columns: list[np.ndarray]) -> np.ndarray:
     return h
 
 
-def shingle_sets(texts: list[bytes | None], known: _WordHash) -> Iterator[np.ndarray]:
+def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct 64-bit shingle hashes of each text."""
-    if len(known) > REMEMBERED:
-        known.clear()
-    words = [t.lower().split() if t else [] for t in texts]  # bytes: A-Z only, ASCII white space only
-    ends = np.cumsum([len(w) for w in words])
-    flat = np.fromiter((known[w] for ws in words for w in ws), np.uint64, int(ends[-1]) if len(ends) else 0)
+    texts = pc.fill_null(column, "").cast(pa.large_binary())
+    words, text = cut_words(texts, NO_SPACE)
+    flat, size = word_hashes(words), np.bincount(text, minlength=len(texts))
     last = max(0, len(flat) - SHINGLE + 1)
     every = _chain([flat[k:k + last] for k in range(SHINGLE)])
-    for ws, end in zip(words, ends.tolist()):
-        n = len(ws)
+    for n, end in zip(size.tolist(), np.cumsum(size).tolist()):
         if n >= SHINGLE:
             yield np.unique(every[end - n:end - SHINGLE + 1])
         else:
@@ -217,10 +207,9 @@ class NgramJaccard:
         kind = self.docs.schema["id"].dataType.simpleString()
 
         def describe(batches):
-            known = _WordHash()
-            for batch in pieces(batches, 2 << 20):
+            for batch in pieces(batches, 1 << 19):
                 n, digest, vector, keys = [], [], [], []
-                for u in shingle_sets(text_bytes(batch.column("text")), known):
+                for u in shingle_sets(batch.column("text")):
                     n.append(len(u))
                     digest.append(xxhash.xxh128_digest(u.tobytes()) if len(u) else None)
                     vector.append(_vector(u) if len(u) else None)
@@ -268,12 +257,12 @@ class NgramJaccard:
         shared = self.docs.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
 
         def shingles(batches):
-            known, bits = _WordHash(), shared.value
-            for batch in pieces(batches, 2 << 20):
+            bits = shared.value
+            for batch in pieces(batches, 1 << 19):
                 h = batch.column("h").to_numpy().astype(np.int64)
                 use = (bits[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1
                 texts = batch.column("text").filter(pa.array(use))
-                found = [u.tobytes() for u in shingle_sets(text_bytes(texts), known)] if len(texts) else []
+                found = [u.tobytes() for u in shingle_sets(texts)] if len(texts) else []
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh128_digest(u) for u in found], pa.binary()),
                                                   pa.array(found, pa.binary())], names=["digest", "shingles"])
 
@@ -389,10 +378,9 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     schema = with_fields(renamed.schema, "`set digest` binary")
 
     def digests(batches):
-        known_words = _WordHash()
-        for batch in pieces(batches, 2 << 20):
+        for batch in pieces(batches, 1 << 19):
             found = [xxhash.xxh128_digest(u.tobytes()) if len(u) else None
-                     for u in shingle_sets(text_bytes(batch.column(text)), known_words)]
+                     for u in shingle_sets(batch.column(text))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=schema.names)
 
     rows = renamed.mapInArrow(digests, schema)
