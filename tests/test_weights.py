@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
-from riskloom.catalog import FeatureCatalog, FeatureSpec
+from riskloom.catalog import FeatureCatalog, FeatureSpec, binary
 from riskloom.operators.features import assembler, fit_weighted_scaler, scaler
 from riskloom.operators.models import ModelSpec, takes_weights
 from riskloom.operators.partitioning import repeated, weighted_layout
@@ -71,3 +71,35 @@ def test_training_without_a_key_equals_training_with_one(spark):
     assert runs[0].dataset_info == runs[1].dataset_info
     a, b = (run.fitted["lr"] for run in runs)
     assert list(a.coefficients) == pytest.approx(list(b.coefficients), rel=1e-6)
+
+
+class _Seen(LogisticRegression):
+    """Notes how many rows it is fitted on."""
+
+    rows: list[int] = []
+
+    def _fit(self, dataset):
+        self.rows.append(dataset.count())
+        return super()._fit(dataset)
+
+
+def test_keyed_rows_of_few_codes_are_fitted_as_weights(spark):
+    """What a fit caches follows the codes that the catalog allows, not the table; the models are those of all rows."""
+    rng = random.Random(5)
+    rows = [(str(i), *(float(rng.random() < 0.4) for _ in range(3)), rng.randint(0, 99)) for i in range(4000)]
+    rows = [(i, a, b, c, float(rng.random() < 0.1 + 0.3 * a + 0.2 * b), bucket) for i, a, b, c, bucket in rows]
+    table = spark.createDataFrame(rows, "id string, a double, b double, c double, label double, bucket int").repartition(4)
+    family = [ModelSpec("lr", 1, lambda f, y: _Seen(featuresCol=f, labelCol=y, maxIter=200, tol=1e-12)),
+              ModelSpec("gbt", 2, lambda f, y: GBTClassifier(featuresCol=f, labelCol=y, maxIter=3, maxDepth=2, seed=1))]
+    codes = tuple(binary(c, 0.0) for c in "abc")
+    config = lambda features: TrainConfig(FeatureCatalog(features, label="label", key_cols=("id",)), family, bucket_col="bucket")
+    few, every = (train_job(spark, table, config(f)) for f in (codes, tuple(FeatureSpec(c) for c in "abc")))
+    assert _Seen.rows[0] <= 2 ** 4 < _Seen.rows[1] == few.dataset_info["train_rows"] == every.dataset_info["train_rows"]
+    names = ("model", "accuracy", "auc_roc", "f1_score", "recall", "test_rows", "predicted_positive")
+    assert [[r[x] for x in names] for r in few.board_rows] == [[r[x] for x in names] for r in every.board_rows]
+    assert list(few.fitted["lr"].coefficients) == pytest.approx(list(every.fitted["lr"].coefficients), rel=1e-6)
+    assert list(few.fitted["gbt"].featureImportances.toArray()) == pytest.approx(list(every.fitted["gbt"].featureImportances.toArray()))
+    assert list(few.pipeline.stages[1].std) == pytest.approx(list(every.pipeline.stages[1].std), rel=1e-9)
+    drawn = [*family, ModelSpec("forest", 3, lambda f, y: RandomForestClassifier(featuresCol=f, labelCol=y, numTrees=3, seed=1))]
+    train_job(spark, table, TrainConfig(FeatureCatalog(codes, label="label", key_cols=("id",)), drawn, bucket_col="bucket"))
+    assert _Seen.rows[2] == _Seen.rows[1]  # a learner that draws rows keeps them all
